@@ -16,9 +16,11 @@ def _bind(value: Column, body) -> Column:
 
 
 def term_runs(terms: Column) -> Column:
-    """Array of terms → array of ``(term, tf, positions)``, one per different term.
+    """Array of terms → array of ``(term, tf, positions, n_terms)``, one per different term.
 
-    A null term takes up a position and is otherwise ignored.
+    A null term takes up a position and is otherwise ignored; ``n_terms`` is the
+    number of the others. It is part of every run, because a column beside the
+    array would be carried along and computed again for every exploded row.
     """
     pairs = F.sort_array(F.filter(
         F.transform(terms, lambda t, i: F.struct(t.alias("term"), i.alias("pos"))),
@@ -33,6 +35,7 @@ def term_runs(terms: Column) -> Column:
                     F.get(b["terms"], start).alias("term"),
                     tf.cast("bigint").alias("tf"),
                     F.slice(b["positions"], start + 1, tf).alias("positions"),
+                    F.size(b["terms"]).cast("bigint").alias("n_terms"),
                 )
             return F.transform(b["starts"], one)
 

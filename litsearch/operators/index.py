@@ -87,12 +87,10 @@ def build_token_postings(docs: DataFrame, config: IndexConfig, doc_id: str = "do
     fields |= {f: F.coalesce(F.col(f), none) for f in config.list_fields}
     runs = _per_field(docs, fields, doc_id).select(
         "doc_id", "field",
-        term_runs(_token_stream(F.col("entry"), config.position_gap)).alias("runs"))
-    length = F.aggregate("runs", F.lit(0).cast("bigint"), lambda n, r: n + r["tf"])
-    return (runs.select("doc_id", "field", length.alias("doc_len"),
-                        F.explode_outer("runs").alias("run"))
-            .filter(F.col("run").isNotNull())
-            .select("field", "run.term", "doc_id", "run.tf", "doc_len", "run.positions"))
+        F.explode_outer(term_runs(_token_stream(F.col("entry"), config.position_gap))).alias("run"))
+    return runs.filter(F.col("run").isNotNull()).select(
+        "field", "run.term", "doc_id", "run.tf", F.col("run.n_terms").alias("doc_len"),
+        "run.positions")
 
 
 def build_key_postings(docs: DataFrame, fields: tuple[str, ...] = tuple(KEY_COLUMNS),

@@ -269,7 +269,8 @@ def rank_bm25(matches: DataFrame, n: int | None = GENERAL_HITS) -> DataFrame:
         return matches.drop("slice")
     if "slice" not in matches.columns:
         matches = matches.withColumn("slice", _slice())
-    best_first = [F.col("score").desc(), F.col("doc_id")]
+    # sums of the same scores differ in the last digits with their order
+    best_first = [F.round("score", 6).desc(), F.col("doc_id")]
     inside = W.partitionBy("query_id", "slice").orderBy(*best_first)
     among = W.partitionBy("query_id").orderBy(*best_first)
     kept = matches.withColumn("rank", F.row_number().over(inside)).filter(F.col("rank") <= n)

@@ -1,10 +1,10 @@
 """Searchable tables on disk.
 
-Layout: one folder per table, in it ``field=…/bucket=…``, where the bucket is a
-hash of the term. A search knows its fields and terms, so it opens only the
-folders of its buckets. Inside a bucket rows are sorted by term and document.
-A frequent term is spread over several files by document, so that no task writes
-(and later none has to read) all of its postings.
+Layout: one folder per table. Postings lie in ``field=…/bucket=…``, where the
+bucket is a hash of the term; dictionaries in ``bucket=…``. A search knows its
+fields and terms, so it opens only the folders of its buckets. Inside a file rows
+are sorted by term and document. A frequent term is spread over several files by
+document, so that no task writes (and later none has to read) all its postings.
 """
 
 from dataclasses import dataclass
@@ -16,7 +16,10 @@ from litsearch.operators.index import (
     IndexConfig, build_key_postings, build_token_postings, doc_store, field_stats, term_dictionary,
 )
 
-SLICES = 8
+# a corpus of this many scan splits fills one bucket of each field
+SPLITS_PER_BUCKET = 8
+FEWEST_BUCKETS, MOST_BUCKETS = 4, 4096
+MOST_SLICES = 8
 
 
 @dataclass(frozen=True)
@@ -46,25 +49,28 @@ def build_index(docs: DataFrame, config: IndexConfig, doc_id: str = "doc_id") ->
                  term_dictionary(keys), doc_store(docs, config, doc_id))
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """Follows the size of the cluster through its number of shuffle partitions."""
-    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+def _layout(stored_docs: DataFrame) -> tuple[int, int]:
+    """Buckets, and slices of a bucket, by the size of the document store just written."""
+    share = stored_docs.rdd.getNumPartitions() // SPLITS_PER_BUCKET
+    return min(MOST_BUCKETS, max(FEWEST_BUCKETS, share)), min(MOST_SLICES, max(1, share))
 
 
-def _write_bucketed(table: DataFrame, path: str, buckets: int, spread: list[str]) -> None:
-    placed = table.withColumn("bucket", bucket_of("term", buckets))
-    by = ["field", "bucket"]
-    if spread:
-        placed = placed.repartition(*by, F.pmod(F.xxhash64(*spread), F.lit(SLICES)))
-    else:
-        placed = placed.repartition(*by)
-    (placed.sortWithinPartitions(*by, "term", *spread)
-     .write.mode("errorifexists").partitionBy(*by).parquet(path))
+def _write_postings(postings: DataFrame, path: str, buckets: int, slices: int) -> None:
+    (postings.withColumn("bucket", bucket_of("term", buckets))
+     .repartition("field", "bucket", F.pmod(F.xxhash64("doc_id"), F.lit(slices)))
+     .sortWithinPartitions("field", "bucket", "term", "doc_id")
+     .write.mode("errorifexists").partitionBy("field", "bucket").parquet(path))
+
+
+def _write_dictionary(dictionary: DataFrame, path: str, buckets: int) -> None:
+    (dictionary.withColumn("bucket", bucket_of("term", buckets))
+     .repartition("bucket").sortWithinPartitions("bucket", "field", "term")
+     .write.mode("errorifexists").partitionBy("bucket").parquet(path))
 
 
 def write_index(index: Index, path: str, buckets: int | None = None,
                 table_prefix: str | None = None) -> None:
-    """Write every table; raises if an index is there already.
+    """Write every table; raises before any work if an index is there already.
 
     Dictionaries and statistics are computed from the postings just written, so
     text is split into words once. With ``table_prefix`` the dictionary and the
@@ -72,17 +78,17 @@ def write_index(index: Index, path: str, buckets: int | None = None,
     ``doc_id``, whose keys are unique and hence even.
     """
     spark = index.docs.sparkSession
-    buckets = buckets or default_buckets(spark)
-    # first, so that an existing index is refused before any work
-    (spark.range(1).select(F.lit(buckets).alias("buckets"))
-     .write.mode("errorifexists").json(f"{path}/meta"))
-    for name, postings in (("postings", index.postings), ("key_postings", index.key_postings)):
-        _write_bucketed(postings, f"{path}/{name}", buckets, ["doc_id"])
     index.docs.write.mode("errorifexists").parquet(f"{path}/docs")
+    fitting, slices = _layout(spark.read.parquet(f"{path}/docs"))
+    buckets = buckets or fitting
+    _write_postings(index.postings, f"{path}/postings", buckets, slices)
+    _write_postings(index.key_postings, f"{path}/key_postings", buckets, slices)
     for name, source in (("dictionary", "postings"), ("key_dictionary", "key_postings")):
-        _write_bucketed(term_dictionary(_open(spark, path, source)), f"{path}/{name}", buckets, [])
+        _write_dictionary(term_dictionary(_open(spark, path, source)), f"{path}/{name}", buckets)
     (field_stats(_open(spark, path, "postings"))
      .write.mode("errorifexists").parquet(f"{path}/stats"))
+    (spark.range(1).select(F.lit(buckets).alias("buckets"))
+     .write.mode("errorifexists").json(f"{path}/meta"))
     if table_prefix:
         stored = read_index(spark, path)
         for name, table, key in (("dictionary", stored.dictionary, "term"),
