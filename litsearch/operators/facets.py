@@ -81,7 +81,10 @@ def results_by_topic(topic_docs: DataFrame, counts: DataFrame, repeat: bool = Fa
 
 def show_documents(rows: DataFrame, docs: DataFrame,
                    columns: tuple[str, ...] = SHOWN) -> DataFrame:
-    """Add the columns to display; only those are read from the store."""
+    """Add the columns to display; only those are read from the store.
+
+    ``rows`` are measured first: pass a stored table rather than a long plan.
+    """
     shown = docs.select("doc_id", *columns)
     if fits_broadcast(rows):
         return shown.join(F.broadcast(rows), "doc_id")

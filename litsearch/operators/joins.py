@@ -3,9 +3,13 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from litsearch.sources.scratch import materialise
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
+# rows of one key that one task may get; a key with more is split
+HOT_ROWS = 1_000_000
+MOST_HOT_KEYS = 100_000
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS,
@@ -18,26 +22,45 @@ def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS,
     return size["n"] <= max_rows and size["bytes"] <= max_bytes
 
 
-def salt(*columns: str, salts: int = SALTS) -> Column:
-    """Even slice number of a row."""
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+def even_slice(slices: int | Column, *columns: str) -> Column:
+    """Slice number of a row by the hash of some columns."""
+    count = F.lit(slices) if isinstance(slices, int) else slices
+    return F.pmod(F.xxhash64(*columns), count).cast("int")
+
+
+def hot_keys(rows: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and the number of parts to cut each into.
+
+    Counted task by task before the shuffle, so a hot key is one row per task. As
+    the counts cannot add up to more than all rows, raising the threshold to
+    (rows of hot keys / MOST_HOT_KEYS) leaves at most MOST_HOT_KEYS keys.
+    """
+    many = materialise(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+                       .filter(F.col("_n") > hot_rows), "hot_keys")
+    total = many.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
+    threshold = max(hot_rows, total // MOST_HOT_KEYS)
+    return many.filter(F.col("_n") > threshold).select(
+        *on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts"))
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner",
                 spread: tuple[str, ...] = ("doc_id",), small: bool | None = None,
-                salts: int = SALTS) -> DataFrame:
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join ``rows`` (large, any skew) with ``table`` (few rows per key).
 
     A table measured to be small is broadcast and ``rows`` are not shuffled.
-    A larger one is joined by shuffle with the rows of each key spread over
-    ``salts`` tasks by their ``spread`` columns, so a key that holds a third of
-    all rows does not end up in one task. Inner, left, semi and anti joins give
-    the same result either way, as each row meets exactly one copy.
+    A larger one is joined by shuffle; keys with very many rows are cut into parts
+    by their ``spread`` columns, and only their table rows are copied, one copy
+    per part. Inner, left, semi and anti joins give the same result either way,
+    as each row meets exactly one copy.
     """
     if small is None:
         small = fits_broadcast(table)
     if small:
         return rows.join(F.broadcast(table), on, how)
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_salt", salt(*spread, salts=salts))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    hot = F.broadcast(hot_keys(rows, on, hot_rows))
+    parts = F.coalesce("_parts", F.lit(1))
+    cut = rows.join(hot, on, "left").withColumn("_part", even_slice(parts, *spread)).drop("_parts")
+    copies = (table.join(hot, on, "left")
+              .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts"))
+    return cut.join(copies, [*on, "_part"], how).drop("_part")

@@ -17,7 +17,7 @@ from litsearch.fixed_values import (
 )
 from litsearch.functions import bm25
 from litsearch.functions.text import words
-from litsearch.operators.joins import fits_broadcast, lookup_join, salt
+from litsearch.operators.joins import even_slice, fits_broadcast, lookup_join
 from litsearch.sources.index_store import Index, bucket_of
 from litsearch.sources.scratch import materialise
 
@@ -222,7 +222,7 @@ def pattern_search(index: Index, expanded: DataFrame) -> DataFrame:
 # --- documents ------------------------------------------------------------------
 
 def _slice() -> Column:
-    return salt("doc_id", salts=RANK_SLICES)
+    return even_slice(RANK_SLICES, "doc_id")
 
 
 def _documents(hits: DataFrame, clauses: DataFrame) -> DataFrame:

@@ -22,6 +22,12 @@ class Comparison:
     by_topic: DataFrame
 
 
+def ranked_hits(index: Index, clauses: DataFrame, n: int | None = GENERAL_HITS,
+                default_field: str = DEFAULT_FIELD, rest_field: str | None = None) -> DataFrame:
+    """Ranked hits, stored: they are few, and every frame shown starts from them."""
+    return materialise(search(index, clauses, n, default_field, rest_field), "hits")
+
+
 def compare_topics(index: Index, clauses: DataFrame, n: int | None = GENERAL_HITS,
                    distinct: bool = True, fields: tuple[str, ...] | None = None,
                    default_field: str = DEFAULT_FIELD, rest_field: str | None = None,
@@ -31,7 +37,7 @@ def compare_topics(index: Index, clauses: DataFrame, n: int | None = GENERAL_HIT
     Hits are found by word, topics are counted by whole key. Hits and topic
     documents are stored, since both are used more than once.
     """
-    hits = materialise(search(index, clauses, n, default_field, rest_field), "hits")
+    hits = ranked_hits(index, clauses, n, default_field, rest_field)
     found = materialise(topic_documents(hits, index.docs, clauses, fields), "topic_documents")
     counts = topic_counts(found, distinct)
     return Comparison(hits, statistics(counts), results_by_topic(found, counts, repeat))

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from litsearch.functions.text import decode_list, doc_key, encode_list
 from litsearch.operators import facets, index, pages, search, topics
 from litsearch.plans import standins as S
-from litsearch.plans.answers import compare_clauses, compare_topics
+from litsearch.plans.answers import compare_clauses, compare_topics, ranked_hits
 from litsearch.schemas import ENRICHED_DOCUMENTS, text_schema
 from litsearch.sources import documents as docs_io
 from litsearch.sources import pages as pages_io
 from litsearch.sources import wiki as wiki_io
 from litsearch.sources.index_store import build_index, read_index, write_index
-from litsearch.sources.scratch import scratch_folder
+from litsearch.sources.scratch import materialise, scratch_folder
 from litsearch.streaming.incremental import (
     extract_incremental, refresh_frontier_stream, visited_table,
 )
@@ -207,7 +207,7 @@ def q13_distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _matched(spark: SparkSession, sf: str) -> DataFrame:
-    keys = topics.distinct_keys(S.stored_papers(spark, sf), "ieee_keys")
+    keys = materialise(topics.distinct_keys(S.stored_papers(spark, sf), "ieee_keys"), "keys")
     return topics.match_wiki_pages(S.wiki(spark, sf), keys)
 
 
@@ -373,13 +373,13 @@ def q35_phrase(spark: SparkSession, sf: str) -> DataFrame:
 
 def q36_bm25(spark: SparkSession, sf: str) -> DataFrame:
     found = S.document_index(spark, sf)
-    ranked = search.search(found, S.clause_table(spark, RANKED_QUERIES), 50)
+    ranked = ranked_hits(found, S.clause_table(spark, RANKED_QUERIES), 50)
     return _rounded(facets.results_by_score(ranked, found.docs, ("lang", "source")))
 
 
 def q36_papers(spark: SparkSession, sf: str) -> DataFrame:
     found = S.paper_index(spark, sf)
-    ranked = search.search(found, S.clause_table(spark, COMPARED_CLAUSES))
+    ranked = ranked_hits(found, S.clause_table(spark, COMPARED_CLAUSES))
     shown = facets.results_by_score(ranked, found.docs)
     return _rounded(shown.withColumns({
         "merged_keys": _joined("merged_keys"), "combined_topics": _joined("combined_topics")}))

@@ -3,8 +3,9 @@
 Layout: one folder per table. Postings lie in ``field=…/bucket=…``, where the
 bucket is a hash of the term; dictionaries in ``bucket=…``. A search knows its
 fields and terms, so it opens only the folders of its buckets. Inside a file rows
-are sorted by term and document. A frequent term is spread over several files by
-document, so that no task writes (and later none has to read) all its postings.
+are sorted by term and document. Partitions are rebalanced at run time before the
+write: a bucket made large by a frequent term is split over several tasks and
+files, and later read by several tasks.
 """
 
 from dataclasses import dataclass
@@ -18,8 +19,7 @@ from litsearch.operators.index import (
 
 # a corpus of this many scan splits fills one bucket of each field
 SPLITS_PER_BUCKET = 8
-FEWEST_BUCKETS, MOST_BUCKETS = 4, 4096
-MOST_SLICES = 8
+FEWEST_BUCKETS, MOST_BUCKETS = 8, 4096
 
 
 @dataclass(frozen=True)
@@ -49,22 +49,22 @@ def build_index(docs: DataFrame, config: IndexConfig, doc_id: str = "doc_id") ->
                  term_dictionary(keys), doc_store(docs, config, doc_id))
 
 
-def _layout(stored_docs: DataFrame) -> tuple[int, int]:
-    """Buckets, and slices of a bucket, by the size of the document store just written."""
-    share = stored_docs.rdd.getNumPartitions() // SPLITS_PER_BUCKET
-    return min(MOST_BUCKETS, max(FEWEST_BUCKETS, share)), min(MOST_SLICES, max(1, share))
+def _buckets_for(stored_docs: DataFrame) -> int:
+    """Number of buckets by the size of the document store just written."""
+    fitting = stored_docs.rdd.getNumPartitions() // SPLITS_PER_BUCKET
+    return min(MOST_BUCKETS, max(FEWEST_BUCKETS, fitting))
 
 
-def _write_postings(postings: DataFrame, path: str, buckets: int, slices: int) -> None:
+def _write_postings(postings: DataFrame, path: str, buckets: int) -> None:
     (postings.withColumn("bucket", bucket_of("term", buckets))
-     .repartition("field", "bucket", F.pmod(F.xxhash64("doc_id"), F.lit(slices)))
+     .hint("rebalance", "field", "bucket")
      .sortWithinPartitions("field", "bucket", "term", "doc_id")
      .write.mode("errorifexists").partitionBy("field", "bucket").parquet(path))
 
 
 def _write_dictionary(dictionary: DataFrame, path: str, buckets: int) -> None:
     (dictionary.withColumn("bucket", bucket_of("term", buckets))
-     .repartition("bucket").sortWithinPartitions("bucket", "field", "term")
+     .hint("rebalance", "bucket").sortWithinPartitions("bucket", "field", "term")
      .write.mode("errorifexists").partitionBy("bucket").parquet(path))
 
 
@@ -79,10 +79,9 @@ def write_index(index: Index, path: str, buckets: int | None = None,
     """
     spark = index.docs.sparkSession
     index.docs.write.mode("errorifexists").parquet(f"{path}/docs")
-    fitting, slices = _layout(spark.read.parquet(f"{path}/docs"))
-    buckets = buckets or fitting
-    _write_postings(index.postings, f"{path}/postings", buckets, slices)
-    _write_postings(index.key_postings, f"{path}/key_postings", buckets, slices)
+    buckets = buckets or _buckets_for(spark.read.parquet(f"{path}/docs"))
+    _write_postings(index.postings, f"{path}/postings", buckets)
+    _write_postings(index.key_postings, f"{path}/key_postings", buckets)
     for name, source in (("dictionary", "postings"), ("key_dictionary", "key_postings")):
         _write_dictionary(term_dictionary(_open(spark, path, source)), f"{path}/{name}", buckets)
     (field_stats(_open(spark, path, "postings"))
