@@ -8,6 +8,8 @@ clause_id, doc_id, score)`` with one row per clause and document or more;
 :func:`boolean_search` combines them into documents.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -21,7 +23,9 @@ from litsearch.operators.joins import even_slice, fits_broadcast, lookup_join
 from litsearch.sources.index_store import Index, bucket_of
 from litsearch.sources.scratch import materialise
 
+WORD_KINDS = ["term", "phrase", "any_word"]
 PATTERN_KINDS = ["prefix", "wildcard", "fuzzy", "range"]
+KINDS = ["key", *WORD_KINDS, *PATTERN_KINDS]
 RANK_SLICES = 256
 
 
@@ -60,7 +64,7 @@ def clause_words(clauses: DataFrame, default_field: str = DEFAULT_FIELD,
     second and later words of an any-word clause to another field, which is what
     ``field:two words`` means in free text: the field binds the first word only.
     """
-    tokens = clauses.filter(F.col("kind").isin("term", "phrase", "any_word")).select(
+    tokens = clauses.filter(F.col("kind").isin(WORD_KINDS)).select(
         "query_id", "clause_id", "kind",
         F.coalesce("field", F.lit(default_field)).alias("field"),
         words(F.col("value")).alias("tokens"))
@@ -280,21 +284,28 @@ def rank_bm25(matches: DataFrame, n: int | None = GENERAL_HITS) -> DataFrame:
 
 def all_clause_hits(index: Index, clauses: DataFrame, default_field: str = DEFAULT_FIELD,
                     rest_field: str | None = None) -> DataFrame:
-    """Hits of every kind of clause together."""
+    """Hits of every kind of clause together. Small jobs look at the clauses first."""
+    # at most one row per kind; branches for kinds nobody asks for are left out
+    asked = {r.kind for r in clauses.filter(F.col("kind").isin(KINDS))
+             .select("kind").distinct().collect()}
     small = fits_broadcast(clauses)
-    rows = clause_words(clauses, default_field, rest_field)
-    few_words = fits_broadcast(rows)
-    weighted = weigh_words(index, rows, few_words)
-    keys = key_lookup(index.key_postings, clauses, index.buckets, small)
-    hits = (term_search(index, weighted, few_words)
-            .unionByName(phrase_search(index, weighted, few_words))
-            .unionByName(keys.select("query_id", "clause_id", "doc_id", F.lit(0.0).alias("score"))))
-    if not clauses.filter(F.col("kind").isin(PATTERN_KINDS)).isEmpty():
+    hits = key_lookup(index.key_postings, clauses, index.buckets, small).select(
+        "query_id", "clause_id", "doc_id", F.lit(0.0).alias("score"))
+    parts = [hits] if "key" in asked or not asked else []
+    if asked & set(WORD_KINDS):
+        rows = clause_words(clauses, default_field, rest_field)
+        few_words = fits_broadcast(rows)
+        weighted = weigh_words(index, rows, few_words)
+        if asked & {"term", "any_word"}:
+            parts.append(term_search(index, weighted, few_words))
+        if "phrase" in asked:
+            parts.append(phrase_search(index, weighted, few_words))
+    if asked & set(PATTERN_KINDS):
         # the terms are needed twice: to measure them and to look them up
         expanded = materialise(
             term_expand(index.dictionary, clauses, default_field, small), "expanded_terms")
-        hits = hits.unionByName(pattern_search(index, expanded))
-    return hits
+        parts.append(pattern_search(index, expanded))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def search(index: Index, clauses: DataFrame, n: int | None = GENERAL_HITS,

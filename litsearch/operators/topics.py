@@ -17,6 +17,15 @@ def merge_keys(docs: DataFrame) -> DataFrame:
         F.coalesce("ieee_keys", none), F.coalesce("author_keys", none)))
 
 
+def distinct_documents(docs: DataFrame, by: str = "link") -> DataFrame:
+    """One document per link, the one with the lowest ``doc_id``.
+
+    Repeats are merged task by task before the shuffle.
+    """
+    row = F.struct(*docs.columns)
+    return docs.groupBy(by).agg(F.min_by(row, "doc_id").alias("row")).select("row.*")
+
+
 def distinct_keys(docs: DataFrame, column: str) -> DataFrame:
     """Different lower-cased keys of one list column: ``key``."""
     keys = docs.select(F.explode_outer(column).alias("key"))
@@ -117,7 +126,8 @@ def topic_dictionary(matched: DataFrame) -> DataFrame:
 
 def explode_keys(docs: DataFrame, column: str, doc_id: str = "doc_id") -> DataFrame:
     """One ``(doc_id, key)`` row per key; a document without keys keeps a null key."""
-    return docs.select(doc_id, F.explode_outer(column).alias("key"))
+    keys = F.filter(column, lambda k: k != "")
+    return docs.select(doc_id, F.explode_outer(keys).alias("key"))
 
 
 def _first_topics(dictionary: DataFrame) -> DataFrame:

@@ -244,6 +244,12 @@ def q19_combine(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "link", _joined("combined_topics").alias("combined_topics"))
 
 
+def q19_distinct_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Papers told apart by site and number in the link."""
+    docs = S.stored_papers(spark, sf).withColumn("place", F.concat_ws("/", "publisher", "year"))
+    return topics.distinct_documents(docs, "place").select("doc_id", "place", "link")
+
+
 def q20_ordered(spark: SparkSession, sf: str) -> DataFrame:
     dictionary = S.enriched_papers(spark, sf).dictionary
     found = topics.attach_topics_ordered(S.stored_papers(spark, sf), dictionary, "ieee_keys")

@@ -338,6 +338,9 @@ FROM (SELECT id, {CATEGORIES} AS c FROM wiki)""",
         "q18_attach": _with(*ENRICHED_BASE) + "SELECT doc_id, key, topic FROM attached",
         "q19_combine": _with(*ENRICHED_BASE) + f"""SELECT doc_id, link,
   {LIST_TEXT.format('combined_topics')} AS combined_topics FROM enriched""",
+        "q19_distinct_documents": _with(*PAPER_BASE) + """SELECT doc_id, place, link
+FROM (SELECT *, row_number() OVER (PARTITION BY place ORDER BY doc_id) AS n
+      FROM (SELECT *, publisher || '/' || year AS place FROM papers)) WHERE n = 1""",
         "q20_ordered": _with(*ENRICHED_BASE) + """SELECT doc_id,
   coalesce(string_agg(first_topic, ';' ORDER BY pos), '') AS topics
 FROM papers LEFT JOIN attached USING (doc_id) GROUP BY doc_id""",

@@ -2,6 +2,7 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
+from litsearch.fixed_values import KEY_IS_TOPIC_PHRASES, NEXT_WORD_IS_TOPIC_PHRASES
 from litsearch.operators import topics
 from litsearch.plans.enrich import enrich_corpus
 from litsearch.sources.documents import read_docs_tsv, with_lists, write_docs_tsv
@@ -51,6 +52,32 @@ def test_topic_rule_branches(spark):
     assert [found[i] for i in range(len(found))] == [t for _, _, t in golden.TOPIC_TEXTS]
 
 
+@pytest.mark.parametrize("phrase", KEY_IS_TOPIC_PHRASES)
+def test_every_phrase_that_makes_the_key_a_topic(spark, phrase):
+    text = f"Say: Some Key {phrase} and more [[Category:A]] [[Category:B]]"
+    df = spark.createDataFrame([(1, "some key", text), (2, "other", text)],
+                               "id long, key string, text string")
+    first, second = (r.topics for r in topics.page_topics(df).orderBy("id").collect())
+    assert (first, second) == (["some key"], ["A", "B"])
+
+
+@pytest.mark.parametrize("phrase", NEXT_WORD_IS_TOPIC_PHRASES)
+def test_every_phrase_before_a_topic(spark, phrase):
+    text = f"It {phrase} things [[Category:A]] [[Category:B]] [[Category:C]]"
+    df = spark.createDataFrame([(1, "key", text)], "id long, key string, text string")
+    assert topics.page_topics(df).first().topics == ["B", "A", "C"]
+
+
+def test_documents_with_the_same_link_are_one(spark, docs, rows):
+    twice = docs.unionByName(docs.withColumn("doc_id", docs.doc_id + 10))
+    assert rows(topics.distinct_documents(twice), "doc_id", "link", "author_keys") == rows(docs)
+
+
+def test_empty_keys_give_no_topic(spark, rows):
+    docs = spark.createDataFrame([(1, ["a", ""]), (2, [""])], "doc_id long, k array<string>")
+    assert rows(topics.explode_keys(docs, "k")) == [(1, "a"), (2, None)]
+
+
 def test_next_word_phrase_may_be_followed_by_any_blank(spark):
     df = spark.createDataFrame(
         [(1, "x", "is a branch of\nart [[Category:A]] [[Category:B]]")], "id long, key string, text string")
