@@ -15,17 +15,18 @@ def _bind(value: Column, body) -> Column:
     return F.flatten(F.transform(F.array(value), body))
 
 
-def term_runs(terms: Column) -> Column:
+def term_runs(terms: Column, with_nulls: bool = False) -> Column:
     """Array of terms → array of ``(term, tf, positions, n_terms)``, one per different term.
 
-    A null term takes up a position and is otherwise ignored; ``n_terms`` is the
-    number of the others. It is part of every run, because a column beside the
-    array would be carried along and computed again for every exploded row.
+    ``n_terms`` is the number of terms. It is part of every run, because a column
+    beside the array would be carried along and computed again for every exploded
+    row. ``with_nulls`` says that there are null terms: they take up a position and
+    are otherwise ignored.
     """
-    pairs = F.sort_array(F.filter(
-        F.transform(terms, lambda t, i: F.struct(t.alias("term"), i.alias("pos"))),
-        lambda p: p["term"].isNotNull(),
-    ))
+    pairs = F.transform(terms, lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
+    if with_nulls:
+        pairs = F.filter(pairs, lambda p: p["term"].isNotNull())
+    pairs = F.sort_array(pairs)
 
     def cut(run):
         def emit(b):

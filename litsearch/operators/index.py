@@ -87,7 +87,8 @@ def build_token_postings(docs: DataFrame, config: IndexConfig, doc_id: str = "do
     fields |= {f: F.coalesce(F.col(f), none) for f in config.list_fields}
     runs = _per_field(docs, fields, doc_id).select(
         "doc_id", "field",
-        F.explode_outer(term_runs(_token_stream(F.col("entry"), config.position_gap))).alias("run"))
+        F.explode_outer(term_runs(_token_stream(F.col("entry"), config.position_gap),
+                                  with_nulls=config.position_gap > 0)).alias("run"))
     return runs.filter(F.col("run").isNotNull()).select(
         "field", "run.term", "doc_id", "run.tf", F.col("run.n_terms").alias("doc_len"),
         "run.positions")

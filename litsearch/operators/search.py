@@ -80,15 +80,20 @@ def clause_words(clauses: DataFrame, default_field: str = DEFAULT_FIELD,
 # --- exact keys ---------------------------------------------------------------
 
 def _key_terms(clauses: DataFrame) -> DataFrame:
+    """Keys asked for, one row per clause, exploded like words are: see ``_placed``."""
     return clauses.filter(F.col("kind") == "key").select(
-        "query_id", "clause_id", "field", F.lower("value").alias("term"))
+        "query_id", "clause_id", "field", F.explode(F.array(F.lower("value"))).alias("term"))
 
 
 def _placed(terms: DataFrame, buckets: int) -> tuple[DataFrame, list[str]]:
-    """Terms with the columns an index table is looked up by."""
+    """Terms with the columns an index table is looked up by.
+
+    Spark prunes the folders of a scan by the other side of a join if that side is
+    filtered. A filter over literal rows is evaluated while planning and would be
+    gone; over exploded rows it stays.
+    """
     if not buckets:
         return terms, ["field", "term"]
-    # the filter lets the scan prune its folders by the terms asked for
     return (terms.withColumn("bucket", bucket_of("term", buckets)).filter(F.length("term") > 0),
             ["field", "bucket", "term"])
 
@@ -101,10 +106,10 @@ def key_lookup(key_postings: DataFrame, clauses: DataFrame, buckets: int = 0,
     return hits.select("query_id", "clause_id", "doc_id", "tf")
 
 
-def key_status(key_dictionary: DataFrame, clauses: DataFrame) -> DataFrame:
+def key_status(key_dictionary: DataFrame, clauses: DataFrame, buckets: int = 0) -> DataFrame:
     """Every key clause with its document frequency, or the note that there is none."""
     terms = _key_terms(clauses)
-    found = term_frequencies(key_dictionary, terms)
+    found = term_frequencies(key_dictionary, terms, buckets)
     return terms.join(found, ["field", "term"], "left").select(
         "query_id", "clause_id", "field", "term", F.coalesce("df", F.lit(0)).alias("df"),
         F.when(F.col("df").isNull(), F.lit(MISSING_TERM)).otherwise(F.lit("found")).alias("status"))
@@ -122,10 +127,11 @@ def key_and(key_hits: DataFrame, clauses: DataFrame) -> DataFrame:
             .filter(F.col("n_found") == F.col("n_clauses")).select("query_id", "doc_id"))
 
 
-def clause_selectivity(key_dictionary: DataFrame, clauses: DataFrame) -> DataFrame:
+def clause_selectivity(key_dictionary: DataFrame, clauses: DataFrame,
+                       buckets: int = 0) -> DataFrame:
     """Key clauses of each query, rarest key first. Unknown keys have frequency 0."""
     terms = _key_terms(clauses)
-    found = term_frequencies(key_dictionary, terms)
+    found = term_frequencies(key_dictionary, terms, buckets)
     rows = terms.join(found, ["field", "term"], "left").select(
         "query_id", "clause_id", "field", "term", F.coalesce("cf", F.lit(0)).alias("cf"))
     order = W.partitionBy("query_id").orderBy("cf", "clause_id")

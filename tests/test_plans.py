@@ -44,6 +44,20 @@ def test_search_opens_only_the_buckets_it_needs(spark, tmp_path, capsys):
     assert physical.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in physical
 
 
+def test_key_lookups_open_only_the_buckets_they_need(spark, tmp_path, capsys):
+    docs = S.papers(spark, SF)
+    path = str(tmp_path / "index")
+    write_index(build_index(docs, index.KEYS), path, buckets=16)
+    found = read_index(spark, path)
+    clauses = S.clause_table(spark, [("q", 0, "ieee_keys", "key", "the", "must")])
+    for df in (search.key_lookup(found.key_postings, clauses, found.buckets),
+               search.key_status(found.key_dictionary, clauses, found.buckets),
+               search.clause_selectivity(found.key_dictionary, clauses, found.buckets)):
+        text = _plan(df, capsys)
+        assert "dynamicpruning" in text[text.index("Physical Plan"):]
+        assert df.count() >= 1
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join_of_either_size(spark, rows, how):
     # one key holds a third of the rows
