@@ -40,8 +40,14 @@ PAPER_LISTS = {
 PAPER_LINK_PATTERN = r'(?:href=\")(\/document\/\d+)'
 PAPER_LINK_BASE = "https://ieeexplore.ieee.org"
 SHORTENED_ENDING = "..."
+# what counts as white space at the ends of a page
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # --- wiki pages ---------------------------------------------------------------
+CATEGORY_START = "[[Category:"
 CATEGORY_PATTERN = r'\[\[Category:([^]]*)'
 KEY_IS_TOPIC_PHRASES = [
     "is a field of study",

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litsearch.fixed_values import (
-    CATEGORY_PATTERN, KEY_IS_TOPIC_PHRASES, NEXT_WORD_IS_TOPIC_PHRASES, NO_KEYS, NOT_FOUND,
+    CATEGORY_PATTERN, CATEGORY_START, KEY_IS_TOPIC_PHRASES, NEXT_WORD_IS_TOPIC_PHRASES, NO_KEYS, NOT_FOUND,
 )
 from litsearch.functions.text import encode_list
 from litsearch.operators.joins import fits_broadcast, lookup_join
@@ -74,7 +74,9 @@ def extract_categories(text: Column) -> Column:
     found = F.transform(
         F.regexp_extract_all(text, F.lit(CATEGORY_PATTERN), F.lit(1)),
         lambda c: F.substring_index(c, "|", 1))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(NOT_FOUND)))
+    # the plain test keeps the pattern from running twice
+    return (F.when(F.contains(text, F.lit(CATEGORY_START)), found)
+            .otherwise(F.array(F.lit(NOT_FOUND))))
 
 
 def _says(text: Column, phrases: list[str], before: Column | None = None,
@@ -95,14 +97,14 @@ def topic_rule(key: Column, text: Column, categories: Column) -> Column:
     of the phrases: the second category goes first. Otherwise the categories.
     """
     flat = F.translate(F.lower(text), "\n\t\r\f\x0b", "     ")
-    swapped = F.when(
-        F.size(categories) > 1,
-        F.concat(F.array(F.get(categories, F.lit(1)), F.get(categories, F.lit(0))),
-                 F.slice(categories, 3, F.size(categories))),
-    ).otherwise(categories)
-    return (F.when(_says(flat, KEY_IS_TOPIC_PHRASES, before=key), F.array(key))
-            .when(_says(flat, NEXT_WORD_IS_TOPIC_PHRASES, after=" "), swapped)
-            .otherwise(categories))
+    swapped = F.concat(
+        F.array(F.get(categories, F.lit(1)), F.get(categories, F.lit(0))),
+        F.slice(categories, 3, F.size(categories)))
+    # inside the lambda the text is a value: it is lower-cased once, not per phrase
+    return F.flatten(F.transform(F.array(flat), lambda t: (
+        F.when(_says(t, KEY_IS_TOPIC_PHRASES, before=key), F.array(key))
+        .when((F.size(categories) > 1) & _says(t, NEXT_WORD_IS_TOPIC_PHRASES, after=" "), swapped)
+        .otherwise(categories))))
 
 
 def page_topics(matched: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """The catalogue's queries in ANSI SQL over the test tables."""
 
 from litsearch.fixed_values import (
-    BM25_B, BM25_K1, KEY_IS_TOPIC_PHRASES, NEXT_WORD_IS_TOPIC_PHRASES,
+    BM25_B, BM25_K1, KEY_IS_TOPIC_PHRASES, NEXT_WORD_IS_TOPIC_PHRASES, WHITE_SPACE,
 )
 from litsearch.plans import catalogue as Q
 
@@ -30,9 +30,11 @@ def _all(text: str, pattern: str) -> str:
     return f"regexp_extract_all({text}, '{pattern}', 1)"
 
 
-FLAT = r"""flat AS (
+_WHITE = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
+
+FLAT = f"""flat AS (
   SELECT page_id, url,
-         regexp_replace(replace(replace(html, chr(10), ''), chr(9), ' '), '^\s+|\s+$', '', 'g') AS html
+         trim(replace(replace(replace(html, chr(10), ''), chr(13), ''), chr(9), ' '), {_WHITE}) AS html
   FROM pages)"""
 
 NAV = _all("regexp_extract(html, '<nav>.*?<ul[^>]*>(.*?)</ul>', 1)", "<li[^>]*><a[^>]*>(.*?)</a>")

@@ -36,8 +36,9 @@ def test_quality_counts_and_filter(spark, rows):
 
 
 def test_flatten_strips_every_white_space(spark, rows):
-    df = spark.createDataFrame([("\t a\nb\tc \r\n\x0b",)], "html string")
-    assert rows(df.select(flatten_html(F.col("html")))) == [("ab c",)]
+    df = spark.createDataFrame(
+        [("\t a\nb\tc \r\n\x0b",), ("\u2003\xa0x\ry\r\nz\u3000",), (" ",)], "html string")
+    assert rows(df.select(flatten_html(F.col("html")))) == [("",), ("ab c",), ("xyz",)]
 
 
 def test_list_codec_accepts_a_trailing_separator(spark, rows):
