@@ -7,38 +7,49 @@ from pyspark.sql import Window as W
 from litsearch.fixed_values import DEFAULT_FIELD
 from litsearch.functions.text import normalise_topic
 from litsearch.operators.joins import fits_broadcast, lookup_join
+from litsearch.operators.search import placed_terms
+from litsearch.sources.index_store import Index
 
 SHOWN = ("title", "link", "merged_keys", "combined_topics", "author")
 SHOWN_BY_KEYS = ("title", "link", "ieee_keys", "author")
 
 
-def topic_documents(hits: DataFrame, docs: DataFrame, clauses: DataFrame,
+def topic_documents(index: Index, hits: DataFrame, clauses: DataFrame,
                     fields: tuple[str, ...] | None = None) -> DataFrame:
     """Hits that hold an asked topic as a whole key: ``query_id, topic, doc_id, occurrences``.
 
     A topic counts in every column the query names, or in ``fields`` when given.
-    Keys are cut down to the asked topics before they meet the hits, so of a
-    document only what is counted is shuffled.
+    Keys of list columns are looked up in the index, so only the folders of asked
+    topics are read; of a text column the whole value is the key, and only the
+    columns named are read.
     """
     asked = clauses.select("query_id", normalise_topic(F.trim("value")).alias("topic")).distinct()
-    named = clauses.select("query_id", F.coalesce("field", F.lit(DEFAULT_FIELD)).alias("field"))
     if fields is None:
-        lists = tuple(f.name for f in docs.schema.fields if f.dataType.typeName() == "array")
+        named = clauses.select("query_id", F.coalesce("field", F.lit(DEFAULT_FIELD)).alias("field"))
         wanted = asked.join(named.distinct(), "query_id")
     else:
-        lists = fields
         wanted = asked.withColumn("field", F.explode(F.array(*map(F.lit, fields))))
-    keys = (docs.select("doc_id", F.explode(F.array(*[
-                F.struct(F.lit(f).alias("field"), F.col(f).alias("keys")) for f in lists
-            ])).alias("e"))
-            .select("doc_id", "e.field", F.explode_outer("e.keys").alias("key"))
-            .filter(F.length("key") > 0)
-            .select("doc_id", "field", normalise_topic(F.col("key")).alias("topic")))
-    found = lookup_join(keys, wanted, ["field", "topic"])
+    known = {f.name: f.dataType.typeName() for f in index.docs.schema.fields}
+    # at most one row per column of the index
+    columns = {r.field for r in wanted.filter(F.col("field").isin(list(known)))
+               .select("field").distinct().collect()}
+    texts = sorted(c for c in columns if known[c] == "string")
+    # one blank at the end of a key does not count
+    keys = wanted.select("query_id", "topic", "field", F.explode(
+        F.array("topic", F.concat("topic", F.lit(" ")))).alias("term"))
+    terms, on = placed_terms(keys, index.buckets)
+    found = lookup_join(index.key_postings, terms, on).select("query_id", "topic", "doc_id", "tf")
+    if texts:
+        values = (index.docs.select("doc_id", F.explode(F.array(*[
+                      F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in texts
+                  ])).alias("e"))
+                  .select("doc_id", "e.field", normalise_topic(F.col("e.value")).alias("topic")))
+        whole = lookup_join(values, wanted, ["field", "topic"])
+        found = found.unionByName(whole.select(
+            "query_id", "topic", "doc_id", F.lit(1).cast("bigint").alias("tf")))
     # the join and the grouping share one shuffle by (query_id, doc_id)
     return (found.join(hits.select("query_id", "doc_id"), ["query_id", "doc_id"])
-            .groupBy("query_id", "doc_id", "topic")
-            .agg(F.count(F.lit(1)).alias("occurrences"))
+            .groupBy("query_id", "doc_id", "topic").agg(F.sum("tf").alias("occurrences"))
             .select("query_id", "topic", "doc_id", "occurrences"))
 
 

@@ -80,12 +80,12 @@ def clause_words(clauses: DataFrame, default_field: str = DEFAULT_FIELD,
 # --- exact keys ---------------------------------------------------------------
 
 def _key_terms(clauses: DataFrame) -> DataFrame:
-    """Keys asked for, one row per clause, exploded like words are: see ``_placed``."""
+    """Keys asked for, one row per clause, exploded like words are: see ``placed_terms``."""
     return clauses.filter(F.col("kind") == "key").select(
         "query_id", "clause_id", "field", F.explode(F.array(F.lower("value"))).alias("term"))
 
 
-def _placed(terms: DataFrame, buckets: int) -> tuple[DataFrame, list[str]]:
+def placed_terms(terms: DataFrame, buckets: int) -> tuple[DataFrame, list[str]]:
     """Terms with the columns an index table is looked up by.
 
     Spark prunes the folders of a scan by the other side of a join if that side is
@@ -101,7 +101,7 @@ def _placed(terms: DataFrame, buckets: int) -> tuple[DataFrame, list[str]]:
 def key_lookup(key_postings: DataFrame, clauses: DataFrame, buckets: int = 0,
                small: bool | None = None) -> DataFrame:
     """Documents holding exactly one key in one column: ``…, doc_id, tf``."""
-    terms, on = _placed(_key_terms(clauses), buckets)
+    terms, on = placed_terms(_key_terms(clauses), buckets)
     hits = lookup_join(key_postings, terms, on, small=small)
     return hits.select("query_id", "clause_id", "doc_id", "tf")
 
@@ -141,7 +141,7 @@ def clause_selectivity(key_dictionary: DataFrame, clauses: DataFrame,
 def term_frequencies(dictionary: DataFrame, terms: DataFrame, buckets: int = 0,
                      small: bool | None = None) -> DataFrame:
     """Dictionary rows of the different terms asked for."""
-    asked, on = _placed(terms.select("field", "term").distinct(), buckets)
+    asked, on = placed_terms(terms.select("field", "term").distinct(), buckets)
     # unique on both sides, so neither form of the join can be skewed
     if small is None:
         small = fits_broadcast(asked)
@@ -163,7 +163,7 @@ def weigh_words(index: Index, rows: DataFrame, small: bool | None = None) -> Dat
 
 def term_search(index: Index, weighted: DataFrame, small: bool | None = None) -> DataFrame:
     """Hits of term and any-word clauses, one row per word and document."""
-    terms, on = _placed(weighted.filter(F.col("kind") != "phrase"), index.buckets)
+    terms, on = placed_terms(weighted.filter(F.col("kind") != "phrase"), index.buckets)
     hits = lookup_join(index.postings.select(*on, "doc_id", "tf", "doc_len"), terms, on,
                        small=small)
     return hits.select("query_id", "clause_id", "doc_id", bm25.score(
@@ -178,7 +178,7 @@ def phrase_search(index: Index, weighted: DataFrame, small: bool | None = None)
     its starts, its idf the sum over its words.
     """
     # a phrase with a word the index lacks has too few rows and drops out below
-    words_of, on = _placed(weighted.filter(F.col("kind") == "phrase"), index.buckets)
+    words_of, on = placed_terms(weighted.filter(F.col("kind") == "phrase"), index.buckets)
     columns = [*on, "doc_id", "doc_len", "positions"]
     hits = lookup_join(index.postings.select(*columns), words_of, on, small=small)
     docs = hits.groupBy("query_id", "clause_id", "doc_id").agg(
@@ -223,7 +223,7 @@ def term_expand(dictionary: DataFrame, clauses: DataFrame,
 
 def pattern_search(index: Index, expanded: DataFrame) -> DataFrame:
     """Hits of pattern clauses, one row per clause and document, all scored 1."""
-    terms, on = _placed(expanded, index.buckets)
+    terms, on = placed_terms(expanded, index.buckets)
     hits = lookup_join(index.postings.select(*on, "doc_id"), terms, on)
     return (hits.select("query_id", "clause_id", "doc_id").distinct()
             .withColumn("score", F.lit(1.0)))

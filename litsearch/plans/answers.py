@@ -38,7 +38,7 @@ def compare_topics(index: Index, clauses: DataFrame, n: int | None = GENERAL_HIT
     documents are stored, since both are used more than once.
     """
     hits = ranked_hits(index, clauses, n, default_field, rest_field)
-    found = materialise(topic_documents(hits, index.docs, clauses, fields), "topic_documents")
+    found = materialise(topic_documents(index, hits, clauses, fields), "topic_documents")
     counts = topic_counts(found, distinct)
     return Comparison(hits, statistics(counts), results_by_topic(found, counts, repeat))
 

@@ -246,6 +246,27 @@ def test_distinct_documents_and_occurrences(spark):
     assert {(r.query_id, r.n_docs) for r in often.collect()} == {("a", 3), ("b", 3)}
 
 
+def test_text_columns_count_by_their_whole_value(spark, found):
+    clauses = clause_table(spark, [
+        ("q", 0, "author", "any_word", "Nobody", "should"),
+        ("q", 1, "author", "any_word", "wei li", "should"),
+        ("q", 2, "author", "any_word", "wei li;xu wei", "should"),
+    ])
+    counts = {r.topic: r.n_docs for r in compare_topics(found, clauses).counts.collect()}
+    assert counts == {"nobody": 10, "wei li;xu wei": 1}
+
+
+def test_counts_never_exceed_occurrences(spark, found):
+    clauses = clause_table(spark, [
+        ("q", i, "combined_topics", "any_word", t, "should")
+        for i, t in enumerate(["voltage", "topology", "privacy", "wire", "machine learning"])])
+    fields = ("combined_topics",)
+    docs = {r.topic: r.n_docs for r in compare_topics(found, clauses).counts.collect()}
+    often = {r.topic: r.n_docs for r in
+             compare_topics(found, clauses, distinct=False, fields=fields).counts.collect()}
+    assert docs.keys() == often.keys() and all(docs[t] <= often[t] for t in docs)
+
+
 def test_top_n_limits_what_is_counted(spark, found):
     rows = [c for c in golden.SAMPLE_CLAUSES if c[0] == "s5"]
     clauses = clause_table(spark, rows)
