@@ -12,14 +12,23 @@ HOT_ROWS = 1_000_000
 MOST_HOT_KEYS = 100_000
 
 
+def _size(max_rows: int, max_bytes: int) -> Column:
+    """Aggregate: are all rows together within the bounds?"""
+    octets = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    return (F.count(F.lit(1)) <= max_rows) & (octets <= max_bytes)
+
+
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS,
                    max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure a table (one aggregation over it) against the broadcast bounds."""
-    size = table.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-    ).first()
-    return size["n"] <= max_rows and size["bytes"] <= max_bytes
+    return table.agg(_size(max_rows, max_bytes).alias("fits")).first()["fits"]
+
+
+def survey(table: DataFrame, column: str, values: list[str]) -> tuple[bool, set[str]]:
+    """Does the table fit a broadcast, and which of a few values does a column hold?"""
+    held = F.collect_set(F.when(F.col(column).isin(values), F.col(column)))
+    row = table.agg(_size(BROADCAST_ROWS, BROADCAST_BYTES).alias("fits"), held.alias("held")).first()
+    return row["fits"], set(row["held"])
 
 
 def even_slice(slices: int | Column, *columns: str) -> Column:

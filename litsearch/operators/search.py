@@ -19,7 +19,7 @@ from litsearch.fixed_values import (
 )
 from litsearch.functions import bm25
 from litsearch.functions.text import words
-from litsearch.operators.joins import even_slice, fits_broadcast, lookup_join
+from litsearch.operators.joins import even_slice, fits_broadcast, lookup_join, survey
 from litsearch.sources.index_store import Index, bucket_of
 from litsearch.sources.scratch import materialise
 
@@ -235,7 +235,7 @@ def _slice() -> Column:
     return even_slice(RANK_SLICES, "doc_id")
 
 
-def _documents(hits: DataFrame, clauses: DataFrame) -> DataFrame:
+def _documents(hits: DataFrame, clauses: DataFrame, small: bool) -> DataFrame:
     """Matching documents of each query with ``slice``, their hash slice.
 
     One shuffle, by (query, slice): clause rows, documents and later the ranking
@@ -248,7 +248,6 @@ def _documents(hits: DataFrame, clauses: DataFrame) -> DataFrame:
     occur = clauses.select("query_id", "clause_id", "occur")
     needed = clauses.groupBy("query_id").agg(
         F.count_if(F.col("occur") == "must").alias("n_must"))
-    small = fits_broadcast(occur)
     known = lookup_join(per_clause, occur, ["query_id", "clause_id"], small=small)
     wanted = F.col("occur") != "must_not"
     docs = known.groupBy("query_id", "slice", "doc_id").agg(
@@ -266,7 +265,7 @@ def boolean_search(hits: DataFrame, clauses: DataFrame) -> DataFrame:
 
     Without a ``must`` at least one ``should`` has to match. Scores add up.
     """
-    return _documents(hits, clauses).drop("slice")
+    return _documents(hits, clauses, fits_broadcast(clauses)).drop("slice")
 
 
 def rank_bm25(matches: DataFrame, n: int | None = GENERAL_HITS) -> DataFrame:
@@ -291,13 +290,17 @@ def rank_bm25(matches: DataFrame, n: int | None = GENERAL_HITS) -> DataFrame:
 def all_clause_hits(index: Index, clauses: DataFrame, default_field: str = DEFAULT_FIELD,
                     rest_field: str | None = None) -> DataFrame:
     """Hits of every kind of clause together. Small jobs look at the clauses first."""
-    # at most one row per kind; branches for kinds nobody asks for are left out
-    asked = {r.kind for r in clauses.filter(F.col("kind").isin(KINDS))
-             .select("kind").distinct().collect()}
-    small = fits_broadcast(clauses)
-    hits = key_lookup(index.key_postings, clauses, index.buckets, small).select(
-        "query_id", "clause_id", "doc_id", F.lit(0.0).alias("score"))
-    parts = [hits] if "key" in asked or not asked else []
+    small, asked = survey(clauses, "kind", KINDS)
+    return _clause_hits(index, clauses, small, asked, default_field, rest_field)
+
+
+def _clause_hits(index: Index, clauses: DataFrame, small: bool, asked: set[str],
+                 default_field: str, rest_field: str | None) -> DataFrame:
+    """Hits of the kinds asked for; branches for the others are left out of the plan."""
+    parts = []
+    if "key" in asked or not asked:
+        keys = key_lookup(index.key_postings, clauses, index.buckets, small)
+        parts.append(keys.select("query_id", "clause_id", "doc_id", F.lit(0.0).alias("score")))
     if asked & set(WORD_KINDS):
         rows = clause_words(clauses, default_field, rest_field)
         few_words = fits_broadcast(rows)
@@ -317,5 +320,6 @@ def all_clause_hits(index: Index, clauses: DataFrame, default_field: str = DEFAU
 def search(index: Index, clauses: DataFrame, n: int | None = GENERAL_HITS,
            default_field: str = DEFAULT_FIELD, rest_field: str | None = None) -> DataFrame:
     """Ranked hits of all queries: ``query_id, doc_id, score, rank``."""
-    hits = all_clause_hits(index, clauses, default_field, rest_field)
-    return rank_bm25(_documents(hits, clauses), n)
+    small, asked = survey(clauses, "kind", KINDS)
+    hits = _clause_hits(index, clauses, small, asked, default_field, rest_field)
+    return rank_bm25(_documents(hits, clauses, small), n)
