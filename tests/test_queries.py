@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry
 from check import TABLES, rows_of
+from litsearch.plans.catalogue import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,14 +26,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) & set(entry.oracle_sql())
 
 
 SLOW_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct",
               "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name, capsys):
     """Same result as the SQL, from a plan without Python and cross joins."""
     df = entry.queries()[name](spark, SF)
