@@ -23,7 +23,7 @@ from litsearch.llm.common import strings, table, texts
 
 #: Fixed value: how byte-level vocabularies of this kind cut a text into pieces.
 #: Blanks are listed because libraries disagree on the control characters 1C-1F.
-BLANK = r"\t-\r \x85\xa0  -     　"
+BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
           rf"| ?[^{BLANK}\p{{L}}\p{{N}}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 TOKEN_LIMIT = 1024

@@ -1,9 +1,11 @@
 """Queries of the text operators, and their SQL where SQL can say the same."""
 
 from litsearch.llm.op1_token_counts import op1_token_counts
+from litsearch.llm.op7_byte_bpe import op7_byte_bpe
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op7_byte_bpe": op7_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
