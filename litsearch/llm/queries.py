@@ -1,10 +1,12 @@
 """Queries of the text operators, and their SQL where SQL can say the same."""
 
 from litsearch.llm.op1_token_counts import op1_token_counts
+from litsearch.llm.op3_language import op3_language
 from litsearch.llm.op7_byte_bpe import op7_byte_bpe
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_language": op3_language,
     "op7_byte_bpe": op7_byte_bpe,
 }
 
