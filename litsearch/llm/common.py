@@ -52,3 +52,39 @@ def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
         edge = np.concatenate(([0], edge))
     begin, end = edge[0::2], edge[1::2]
     return begin, end, np.searchsorted(begin, starts)
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_MIX = np.random.default_rng(20).integers(0, 2**64, 256, dtype=np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    """A-Z in small letters, all other bytes as they are."""
+    return _LOWER[data]
+
+
+def powers(n: int) -> np.ndarray:
+    """Powers of the hash base, modulo 2**64."""
+    out = np.full(max(n, 1), _BASE, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word's bytes: a polynomial of random byte values, mixed at the end."""
+    if not len(begin):
+        return np.zeros(0, np.uint64)
+    length = end - begin
+    first = np.cumsum(length) - length
+    inside = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
+    power = powers(int(length.max()))
+    return mix(np.add.reduceat(_MIX[data[np.repeat(begin, length) + inside]] * power[inside], first))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit numbers over all bits (one to one)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -1,5 +1,6 @@
 """Queries of the text operators, and their SQL where SQL can say the same."""
 
+from litsearch.llm.op10_context_tree import op10_context_tree
 from litsearch.llm.op1_token_counts import op1_token_counts
 from litsearch.llm.op3_language import op3_language
 from litsearch.llm.op7_byte_bpe import op7_byte_bpe
@@ -8,6 +9,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_language": op3_language,
     "op7_byte_bpe": op7_byte_bpe,
+    "op10_context_tree": op10_context_tree,
 }
 
 ORACLE_SQL: dict[str, str] = {}
