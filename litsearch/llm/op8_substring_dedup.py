@@ -313,18 +313,18 @@ OP8_SQL = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 starts AS (
-  SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS at FROM docs WHERE len(words) >= 20),
+  SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS pos FROM docs WHERE len(words) >= 20),
 windows AS (
-  SELECT doc_id, at, row_number() OVER (
-           PARTITION BY array_to_string(list_slice(words, at, at + 19), ' ') ORDER BY doc_id, at) > 1 AS again
+  SELECT doc_id, pos, row_number() OVER (
+           PARTITION BY array_to_string(list_slice(words, pos, pos + 19), ' ') ORDER BY doc_id, pos) > 1 AS again
   FROM starts),
-gone AS (
-  SELECT DISTINCT doc_id, unnest(generate_series(at, at + 19)) AS at FROM windows WHERE again),
+removed AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(pos, pos + 19)) AS pos FROM windows WHERE again),
 kept AS (
-  SELECT d.doc_id, d.at, d.word, g.at IS NOT NULL AS out
-  FROM (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS at FROM docs) d
-  LEFT JOIN gone g USING (doc_id, at))
-SELECT docs.doc_id, len(docs.words)::BIGINT AS n_words, count(*) FILTER (kept.out)::BIGINT AS n_removed,
-       sha256(coalesce(string_agg(word, ' ' ORDER BY at) FILTER (NOT kept.out), '')) AS kept_sha256
+  SELECT d.doc_id, d.pos, d.word, g.pos IS NOT NULL AS gone
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS pos FROM docs) d
+  LEFT JOIN removed g USING (doc_id, pos))
+SELECT docs.doc_id, len(docs.words)::BIGINT AS n_words, count(*) FILTER (kept.gone)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT kept.gone), '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id) GROUP BY docs.doc_id, docs.words
 """
