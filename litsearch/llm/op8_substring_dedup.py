@@ -312,18 +312,19 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-starts AS (
-  SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS pos FROM docs WHERE len(words) >= 20),
+words AS (
+  SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS pos FROM docs),
 windows AS (
-  SELECT doc_id, pos, row_number() OVER (
-           PARTITION BY array_to_string(list_slice(words, pos, pos + 19), ' ') ORDER BY doc_id, pos) > 1 AS again
-  FROM starts),
-removed AS (
-  SELECT DISTINCT doc_id, unnest(generate_series(pos, pos + 19)) AS pos FROM windows WHERE again),
+  SELECT doc_id, pos, md5(string_agg(word, ' ') OVER w) AS key, count(*) OVER w AS n FROM words
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+firsts AS (
+  SELECT key, min((doc_id, pos)) AS first FROM windows WHERE n = 20 GROUP BY key),
+marked AS (
+  SELECT doc_id, pos, n = 20 AND (doc_id, pos) > first AS again FROM windows JOIN firsts USING (key)),
 kept AS (
-  SELECT d.doc_id, d.pos, d.word, g.pos IS NOT NULL AS gone
-  FROM (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS pos FROM docs) d
-  LEFT JOIN removed g USING (doc_id, pos))
+  SELECT w.doc_id, w.pos, w.word, coalesce(max(m.again::INTEGER) OVER (
+           PARTITION BY w.doc_id ORDER BY w.pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) = 1 AS gone
+  FROM words w LEFT JOIN marked m ON m.doc_id = w.doc_id AND m.pos = w.pos)
 SELECT docs.doc_id, len(docs.words)::BIGINT AS n_words, count(*) FILTER (kept.gone)::BIGINT AS n_removed,
        sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT kept.gone), '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id) GROUP BY docs.doc_id, docs.words
