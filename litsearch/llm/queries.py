@@ -3,6 +3,7 @@
 from litsearch.llm.op10_context_tree import op10_context_tree
 from litsearch.llm.op1_token_counts import op1_token_counts
 from litsearch.llm.op3_language import op3_language
+from litsearch.llm.op6_pii import op6_pii
 from litsearch.llm.op7_byte_bpe import op7_byte_bpe
 from litsearch.llm.op8_substring_dedup import OP8_SQL, op8_substring_dedup
 from litsearch.llm.op9_simhash import op9_simhash
@@ -10,6 +11,7 @@ from litsearch.llm.op9_simhash import op9_simhash
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_language": op3_language,
+    "op6_pii": op6_pii,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
