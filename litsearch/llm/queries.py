@@ -2,6 +2,7 @@
 
 from litsearch.llm.op10_context_tree import op10_context_tree
 from litsearch.llm.op1_token_counts import op1_token_counts
+from litsearch.llm.op2_html_text import op2_html_text
 from litsearch.llm.op3_language import op3_language
 from litsearch.llm.op6_pii import op6_pii
 from litsearch.llm.op7_byte_bpe import op7_byte_bpe
@@ -10,6 +11,7 @@ from litsearch.llm.op9_simhash import op9_simhash
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_html_text": op2_html_text,
     "op3_language": op3_language,
     "op6_pii": op6_pii,
     "op7_byte_bpe": op7_byte_bpe,
