@@ -159,8 +159,8 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = """
 WITH RECURSIVE vectors AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
-  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
