@@ -44,9 +44,15 @@ _BLANK = np.zeros(256, bool)
 _BLANK[list(BLANKS)] = True
 
 
-def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of each word ``[^\\x20\\x09-\\x0D]+`` in joined bytes, and each text's first word."""
-    blank = _BLANK[data]
+#: ASCII bytes that are no letter or digit.
+NOT_ALPHANUMERIC = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, starts: np.ndarray,
+               between: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each word ``[^\\x20\\x09-\\x0D]+`` in joined bytes, and each text's first word;
+    other bytes ``between`` words if given."""
+    blank = between[data]
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     if len(data) and not blank[0]:
         edge = np.concatenate(([0], edge))

@@ -5,6 +5,7 @@ from litsearch.llm.op1_token_counts import op1_token_counts
 from litsearch.llm.op2_html_text import op2_html_text
 from litsearch.llm.op3_language import op3_language
 from litsearch.llm.op4_embedding_dedup import OP4_SQL, op4_embedding_dedup
+from litsearch.llm.op5_decontamination import op5_decontamination
 from litsearch.llm.op6_pii import op6_pii
 from litsearch.llm.op7_byte_bpe import op7_byte_bpe
 from litsearch.llm.op8_substring_dedup import OP8_SQL, op8_substring_dedup
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_html_text": op2_html_text,
     "op3_language": op3_language,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_pii": op6_pii,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_substring_dedup": op8_substring_dedup,
