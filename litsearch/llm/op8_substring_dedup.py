@@ -35,7 +35,7 @@ from litsearch.llm.op7_byte_bpe import groups
 WINDOW = 20
 BLOCK = WINDOW // 2
 #: Bytes of text to a bucket, and characters of text to a part.
-BUCKET_BYTES, PART_CHARS = 32 << 20, 8_000_000
+BUCKET_BYTES, PART_CHARS = 32 << 20, 2_000_000
 NO_ID = 2**63 - 1
 ASKED = "bucket int, part long, counts binary, keys binary, ids binary"
 ANSWERED = "part long, bucket int, counts binary, bits binary, ids binary"
