@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline as cp
 from litsearch.llm import op6_pii
-from tests_llm_plain import plain_base_spans, plain_groups, tiktoken_ids
+from plain import plain_base_spans, plain_groups, tiktoken_ids
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
