@@ -7,7 +7,8 @@ passages, its products summed up over the tasks, gives the latent space: at most
 ``ITEMS_AT_ONCE`` items are searched at a time and the space has a dimension for each, so
 none is lost. Every passage of every document is folded in and its cosine with every item
 taken, item matrix against passages of a task (a stated query set against all rows, in
-blocks). At ``COSINE`` or more, the item's words are compared with the words around the
+blocks). If that is at least ``COSINE`` and the passage's part along the item at least
+``ALONG`` of the item's length, the item's words are compared with the words around the
 passage: the longest common subsequence, as a share of the item, and that of the item's answer (what
 follows the last question mark or "answer:", else its last sentence).
 
@@ -33,7 +34,7 @@ from litsearch.llm.op7_byte_bpe import groups
 
 STEP = 16  # words from one passage to the next; a passage is two steps long
 ITEMS_AT_ONCE, POWER, EXTRA, SEED = 256, 2, 8, 11
-COMMON, COSINE = 0.02, 0.45
+COMMON, COSINE, ALONG = 0.02, 0.4, 0.25
 VERBATIM, REWORDED, ANSWERED = 0.75, 0.5, 0.8
 CHARS_AT_ONCE = 1_000_000
 LEAKS = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
@@ -175,7 +176,8 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def find_leaks(values: list[str], items: Items, terms: np.ndarray, latent: np.ndarray) -> list[dict[int, dict]]:
-    """Of each text: the items it leaks. ``terms``: weighted rows of the latent space."""
+    """Of each text: the items it leaks. ``terms``: weighted rows of the latent space;
+    ``latent``: the items in it."""
     out: list[dict[int, dict]] = [{} for _ in values]
     words, first = hashed_words(values)
     step, start, text = steps_of(first)
@@ -185,13 +187,16 @@ def find_leaks(values: list[str], items: Items, terms: np.ndarray, latent: np.nd
     if not len(at):
         return out
     passages, folded = passage_sums(step[at], start, text[at], terms[term[at]])
-    length = np.linalg.norm(folded, axis=1)
-    cosine = folded @ latent.T / np.where(length > 0, length, 1)[:, None]
+    size = np.linalg.norm(latent, axis=1)
+    unit = latent / np.where(size > 0, size, 1)[:, None]
+    along = folded @ unit.T
+    cosine = along / np.maximum(np.linalg.norm(folded, axis=1), 1e-9)[:, None]
     owner = np.searchsorted(start, passages, "right") - 1
-    tried: dict[tuple[int, int], int] = {}
-    for p, i in sorted(zip(*(x.tolist() for x in np.nonzero(cosine >= COSINE))),
-                       key=lambda x: -cosine[x[0], x[1]]):
+    near = (cosine >= COSINE) & (along >= ALONG * size) & (size > 0)
+    for p, i in sorted(zip(*(x.tolist() for x in np.nonzero(near))), key=lambda x: -cosine[x[0], x[1]]):
         doc, item = int(owner[p]), items.words[i]
+        if i in out[doc] and out[doc][i]["lcs"] == 1:
+            continue
         place = int(first[doc] + (passages[p] - start[doc]) * STEP)
         around = words[max(first[doc], place - len(item)):min(first[doc + 1], place + 2 * STEP + len(item))]
         share = common_subsequence(item, around) / len(item)
@@ -218,8 +223,7 @@ def search(docs: DataFrame, benchmark: DataFrame, items: Items, text_col: str, c
     space = latent_space(benchmark, items, weight)
     terms = (weight[:, None] * space).astype(np.float32)
     latent = items.matrix(weight) @ space
-    length = np.linalg.norm(latent, axis=1, keepdims=True)
-    latent = np.where(length > 0, latent / np.where(length > 0, length, 1), 0).astype(np.float32)
+    latent = latent.astype(np.float32)
     schema = docs.schema
 
     def run(batches):
