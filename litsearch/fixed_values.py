@@ -67,11 +67,9 @@ NEXT_WORD_IS_TOPIC_PHRASES = [
 # --- search -------------------------------------------------------------------
 KEY_COLUMNS = ["ieee_keys", "author_keys", "merged_keys"]
 DEFAULT_FIELD = "combined_topics"
-DEFAULT_KEY_FIELD = "ieee_keys"
-GENERAL_HITS = 2000
-TOPIC_HITS = 10000
 BM25_K1 = 1.2
 BM25_B = 0.75
 
-# Words are runs of letters and digits; this splits between them.
-WORD_SPLIT = r"[^\p{L}\p{N}]+"
+# Words are runs of letters, digits and the marks that belong to letters; this splits
+# between them, and so at apostrophes and underscores.
+WORD_SPLIT = r"[^\p{L}\p{N}\p{M}]+"

@@ -7,9 +7,14 @@ from litsearch.fixed_values import (
     PAPER_LINK_BASE, PAPER_LINK_PATTERN, PAPER_LISTS, PAPER_RULES, SHORTENED_ENDING,
 )
 from litsearch.functions.text import flatten_html
+from litsearch.operators.joins import fits_broadcast
+from litsearch.sources.scratch import materialise
 
 Rules = dict[str, tuple[str, int]]
 
+# blanks and digits of every script count, and a dot stands for any character
+WHOLE_UNICODE = "(?sU)"
+
 
 def normalise_html(pages: DataFrame, column: str = "html") -> DataFrame:
     """Pages on one line each. Patterns below do not cross newlines: do this first."""
@@ -19,7 +24,7 @@ def normalise_html(pages: DataFrame, column: str = "html") -> DataFrame:
 def extract_fields(pages: DataFrame, rules: Rules | None = None, html: str = "html") -> DataFrame:
     """First match of each rule as a column, ``''`` where there is none."""
     return pages.withColumns({
-        column: F.regexp_extract(html, pattern, group)
+        column: F.regexp_extract(html, WHOLE_UNICODE + pattern, group)
         for column, (pattern, group) in (rules or PAPER_RULES).items()
     })
 
@@ -27,8 +32,9 @@ def extract_fields(pages: DataFrame, rules: Rules | None = None, html: str = "ht
 def extract_list(pages: DataFrame, column: str, block_pattern: str, item_pattern: str,
                  html: str = "html") -> DataFrame:
     """All items inside the first block as an array; no block gives an empty array."""
-    block = F.regexp_extract(html, block_pattern, 1)
-    return pages.withColumn(column, F.regexp_extract_all(block, F.lit(item_pattern), F.lit(1)))
+    block = F.regexp_extract(html, WHOLE_UNICODE + block_pattern, 1)
+    return pages.withColumn(column, F.regexp_extract_all(
+        block, F.lit(WHOLE_UNICODE + item_pattern), F.lit(1)))
 
 
 def extract_papers(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -57,7 +63,7 @@ def extract_outlinks(pages: DataFrame, pattern: str = PAPER_LINK_PATTERN,
                      base: str = PAPER_LINK_BASE, html: str = "html",
                      page: str = "page_id") -> DataFrame:
     """Every document link of every page, absolute: ``page_id``, ``url``."""
-    paths = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    paths = F.regexp_extract_all(html, F.lit(WHOLE_UNICODE + pattern), F.lit(1))
     # outer explode: the inner form would add a filter that runs the pattern twice
     return (pages.select(page, F.explode_outer(paths).alias("path"))
             .filter(F.col("path").isNotNull())
@@ -69,14 +75,23 @@ def visited_links(pages: DataFrame) -> DataFrame:
     return pages.select("url").distinct()
 
 
-def frontier(candidates: DataFrame, visited: DataFrame, page: str = "page_id") -> DataFrame:
+def frontier(candidates: DataFrame, visited: DataFrame, page: str = "page_id",
+             small: bool | None = None) -> DataFrame:
     """Links to fetch next, each with the first page that names it.
 
     Repeats of a link are merged before the shuffle, so a link that every page
-    holds costs one row per task. Both sides then share the hash of ``url``.
+    holds costs one row per task. Candidates measured to be small are broadcast to
+    the history, which then is not shuffled; others share the hash of ``url`` with it.
     """
-    first_seen = candidates.groupBy("url").agg(F.min(page).alias(page))
-    return first_seen.join(visited.select("url").distinct(), "url", "left_anti")
+    first_seen = materialise(candidates.groupBy("url").agg(F.min(page).alias(page)), "candidates")
+    known = visited.select("url")
+    if small is None:
+        small = fits_broadcast(first_seen)
+    if small:
+        known = known.join(F.broadcast(first_seen.select("url")), "url", "left_semi").distinct()
+        # no more rows than there are candidates
+        return first_seen.join(F.broadcast(known), "url", "left_anti")
+    return first_seen.join(known.distinct(), "url", "left_anti")
 
 
 def frontier_counts(new_links: DataFrame, page: str = "page_id") -> DataFrame:

@@ -8,6 +8,7 @@ from litsearch.fixed_values import (
 )
 from litsearch.functions.text import encode_list
 from litsearch.operators.joins import fits_broadcast, lookup_join
+from litsearch.sources.scratch import materialise
 
 
 def merge_keys(docs: DataFrame) -> DataFrame:
@@ -17,13 +18,23 @@ def merge_keys(docs: DataFrame) -> DataFrame:
         F.coalesce("ieee_keys", none), F.coalesce("author_keys", none)))
 
 
-def distinct_documents(docs: DataFrame, by: str = "link") -> DataFrame:
-    """One document per link, the one with the lowest ``doc_id``.
+def distinct_documents(docs: DataFrame, by: str | None = None) -> DataFrame:
+    """Documents without repeats: rows equal in all columns but ``doc_id`` are one.
 
-    Repeats are merged task by task before the shuffle.
+    With ``by`` documents that share that column are one; those in which it is empty or
+    null are never merged. The document with the lowest ``doc_id`` stays. With ``by`` it is
+    picked from narrow rows, task by task before the shuffle.
     """
-    row = F.struct(*docs.columns)
-    return docs.groupBy(by).agg(F.min_by(row, "doc_id").alias("row")).select("row.*")
+    if by is None:
+        names = [c for c in docs.columns if c != "doc_id"]
+        if "doc_id" not in docs.columns:
+            return docs.dropDuplicates(names)
+        # equal rows are small groups of whole documents; the first id of each is kept
+        return docs.groupBy(*names).agg(F.min("doc_id").alias("doc_id")).select(*docs.columns)
+    named = F.length(by) > 0
+    first = docs.filter(named).groupBy(by).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    merged = docs.filter(named).join(first, "doc_id", "left_semi")
+    return merged.unionByName(docs.filter(~F.coalesce(named, F.lit(False)))).select(*docs.columns)
 
 
 def distinct_keys(docs: DataFrame, column: str) -> DataFrame:
@@ -33,12 +44,12 @@ def distinct_keys(docs: DataFrame, column: str) -> DataFrame:
 
 
 def match_wiki_pages(wiki: DataFrame, keys: DataFrame, small: bool | None = None) -> DataFrame:
-    """Pages named by a key: ``id, key, title_match, text``.
+    """What pages named by a key say of it: ``id, key, title_match, n_chars, topics``.
 
     The title counts before the redirect title; pages matching neither are
-    dropped. Small keys are broadcast and pages stay where they are. For large
-    keys only ids and names are shuffled to find the matches, and page text
-    moves once, for matched pages.
+    dropped. Small keys are broadcast, pages stay where they are, and topics are
+    worked out for matches. For large keys each page gives its answers for its own two
+    names first, which are stored: the dump is read once and no page text is shuffled.
     """
     pages = wiki.select(
         "id",
@@ -46,27 +57,28 @@ def match_wiki_pages(wiki: DataFrame, keys: DataFrame, small: bool | None = None
         F.lower("redirect.title").alias("by_redirect"),
         F.coalesce("revision.text", F.lit("")).alias("text"),
     )
+    answer = ["id", "key", "title_match", F.length("text").cast("bigint").alias("n_chars"), "topics"]
     if small is None:
         small = fits_broadcast(keys)
     if small:
         for name in ("by_title", "by_redirect"):
             hit = keys.select(F.col("key").alias(name), F.lit(True).alias(f"{name}_hit"))
             pages = pages.join(F.broadcast(hit), name, "left")
-        return (pages.filter("by_title_hit or by_redirect_hit")
-                .select("id",
-                        F.when(F.col("by_title_hit"), F.col("by_title"))
-                        .otherwise(F.col("by_redirect")).alias("key"),
-                        F.col("by_title_hit").isNotNull().alias("title_match"),
-                        "text"))
-    names = pages.select("id", F.inline(F.array(
-        F.struct(F.lit(0).alias("place"), F.col("by_title").alias("key")),
-        F.struct(F.lit(1).alias("place"), F.col("by_redirect").alias("key")),
+        return page_topics(pages.filter("by_title_hit or by_redirect_hit").select(
+            "id",
+            F.when(F.col("by_title_hit"), F.col("by_title"))
+            .otherwise(F.col("by_redirect")).alias("key"),
+            F.col("by_title_hit").isNotNull().alias("title_match"), "text")).select(*answer)
+    names = pages.select("id", "text", F.inline(F.array(
+        F.struct(F.lit(True).alias("title_match"), F.col("by_title").alias("key")),
+        F.struct(F.lit(False).alias("title_match"), F.col("by_redirect").alias("key")),
     ))).filter(F.col("key").isNotNull())
-    best = (lookup_join(names, keys, ["key"], spread=("id",), small=False)
-            .groupBy("id").agg(F.min(F.struct("place", "key")).alias("best")))
-    return pages.select("id", "text").join(best, "id").select(
-        "id", F.col("best.key").alias("key"),
-        (F.col("best.place") == 0).alias("title_match"), "text")
+    answers = materialise(page_topics(names).select(*answer), "page_answers")
+    best = F.struct((~F.col("title_match")).alias("by_redirect"), "key", "n_chars", "topics")
+    return (lookup_join(answers, keys, ["key"], spread=("id",), small=False)
+            .groupBy("id").agg(F.min(best).alias("best"))
+            .select("id", "best.key", (~F.col("best.by_redirect")).alias("title_match"),
+                    "best.n_chars", "best.topics"))
 
 
 def extract_categories(text: Column) -> Column:
@@ -108,7 +120,7 @@ def topic_rule(key: Column, text: Column, categories: Column) -> Column:
 
 
 def page_topics(matched: DataFrame) -> DataFrame:
-    """``topics`` of every matched page."""
+    """``topics`` of pages with their ``key`` and ``text``."""
     with_categories = matched.withColumn("categories", extract_categories(F.col("text")))
     return with_categories.withColumn(
         "topics", topic_rule(F.col("key"), F.col("text"), F.col("categories")))
@@ -122,8 +134,7 @@ def topic_dictionary(matched: DataFrame) -> DataFrame:
     of the pages share costs one row per task, and page text is never shuffled.
     """
     order = F.struct((~F.col("title_match")).alias("by_redirect"), F.col("id"))
-    return (page_topics(matched).groupBy("key")
-            .agg(F.min_by("topics", order).alias("topics")))
+    return matched.groupBy("key").agg(F.min_by("topics", order).alias("topics"))
 
 
 def explode_keys(docs: DataFrame, column: str, doc_id: str = "doc_id") -> DataFrame:

@@ -11,7 +11,6 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 DOCUMENTS = text_schema(DOCUMENT_COLUMNS)
-MERGED_DOCUMENTS = text_schema(DOCUMENT_COLUMNS + ["merged_keys"])
 ENRICHED_DOCUMENTS = text_schema(DOCUMENT_COLUMNS + ["merged_keys", "combined_topics"])
 
 WIKI_PAGES = T.StructType([

@@ -31,8 +31,9 @@ def visited_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def add_new_links(pages: DataFrame, batch: int, visited_path: str,
-                  pattern: str = PAPER_LINK_PATTERN, base: str = PAPER_LINK_BASE) -> None:
-    """Write links of one batch of pages that no earlier batch emitted.
+                  pattern: str = PAPER_LINK_PATTERN, base: str = PAPER_LINK_BASE,
+                  seed: DataFrame | None = None) -> None:
+    """Write links of one batch of pages that no earlier batch emitted and ``seed`` lacks.
 
     The result goes to the folder of the batch, which a replay overwrites, and a
     replay does not count its own first try as visited.
@@ -46,19 +47,30 @@ def add_new_links(pages: DataFrame, batch: int, visited_path: str,
         if "PATH_NOT_FOUND" not in str(error):
             raise
         seen = spark.createDataFrame([], "url string")
+    if seed is not None:
+        seen = seen.unionByName(seed.select("url"))
     (frontier(links, seen).select("url", "page_id")
      .write.mode("overwrite").parquet(f"{visited_path}/batch={batch}"))
 
 
 def refresh_frontier_stream(pages: DataFrame, visited_path: str, checkpoint: str,
                             pattern: str = PAPER_LINK_PATTERN,
-                            base: str = PAPER_LINK_BASE) -> None:
+                            base: str = PAPER_LINK_BASE,
+                            seed: DataFrame | None = None) -> None:
     """Run :func:`add_new_links` for every batch of a stream of pages.
 
     Emitted links live in a table, not in stream state, which would grow with
-    the crawl.
+    the crawl. ``seed`` holds links visited before (``url``): a crawl's own list, or
+    what :func:`compact_visited` made of an earlier stream's many small folders.
     """
     (pages.writeStream
-     .foreachBatch(lambda df, batch: add_new_links(df, batch, visited_path, pattern, base))
+     .foreachBatch(lambda df, batch: add_new_links(df, batch, visited_path, pattern, base, seed))
      .option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
+
+
+def compact_visited(spark: SparkSession, visited_path: str, out: str) -> DataFrame:
+    """Write all links emitted so far as one table of few files, to seed the next stream."""
+    links = visited_table(spark, visited_path).select("url", "page_id")
+    links.hint("rebalance").write.mode("errorifexists").parquet(out)
+    return spark.read.schema("url string, page_id bigint").parquet(out)

@@ -24,6 +24,16 @@ PAPER_PAGES = [
     '<html><body>no such page</body></html>',
 ]
 
+# blanks and line ends of other kinds where the patterns have room for some
+UNUSUAL_PAGES = [
+    ('<h1 class="document-title"><span>A\u2028title</span></h1>'
+     '<strong>Page(s): </strong>\xa0\u200912 - 20<span>Publisher:\xa0</span><!----><span class="p">ACM</span>'
+     '<meta property="og:description" \u2028 content="One\x85line\u2029and more">'
+     '<strong>IEEE\xa0Keywords</strong><ul class="k"><li class="i"><a href="#">a\u2028b</a></li></ul>'),
+    ('<div>Copyright Year:\u3000<b>\xa0</b>\xa0 2020</div><strong>Author\u2003Keywords</strong>\u2029'
+     '<ul><li><a>x</a></li></ul>'),
+]
+
 WIKI_DUMP = """<mediawiki>
 <page><title>Voltage</title><id>1</id><revision><id>9</id><text bytes="4">Voltage is a method of [[Category:Physics]]</text></revision></page>
 <page><title>Other</title><id>2</id><redirect title="Graphs" /><revision><text>Graphs here. [[Category:Maths|graphs]] [[Category:Sets]]</text></revision></page>

@@ -1,6 +1,9 @@
+import re
+
 import golden
 from pyspark.sql import functions as F
 
+from litsearch.fixed_values import PAPER_LISTS, PAPER_RULES
 from litsearch.functions.text import decode_list, doc_key, encode_list, flatten_html
 from litsearch.operators import pages
 from litsearch.sources.pages import (
@@ -28,6 +31,21 @@ def test_missing_markers_give_empty_values(spark):
     assert found[4].link == found[4].title == "" and found[4].author_keys == []
 
 
+def test_patterns_find_what_python_finds(spark):
+    """Blanks of every script count, and a dot stands for any character of the line."""
+    unusual = spark.createDataFrame(
+        list(enumerate(golden.PAPER_PAGES + golden.UNUSUAL_PAGES)), "page_id long, html string")
+    flat = {r.page_id: r.html for r in pages.normalise_html(unusual).collect()}
+    for r in pages.extract_papers(unusual).collect():
+        html = flat[r.page_id]
+        for column, (pattern, group) in PAPER_RULES.items():
+            found = re.search(pattern, html)
+            assert r[column] == (found.group(group) if found else ""), (r.page_id, column)
+        for column, (block, item) in PAPER_LISTS.items():
+            found = re.search(block, html)
+            assert r[column] == (re.findall(item, found.group(1)) if found else []), (r.page_id, column)
+
+
 def test_quality_counts_and_filter(spark, rows):
     docs = pages.extract_papers(_pages(spark))
     # an abstract of one dot is neither missing nor shortened

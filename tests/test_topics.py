@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from litsearch.fixed_values import KEY_IS_TOPIC_PHRASES, NEXT_WORD_IS_TOPIC_PHRASES
 from litsearch.operators import topics
 from litsearch.plans.enrich import enrich_corpus
-from litsearch.sources.documents import read_docs_tsv, with_lists, write_docs_tsv
+from litsearch.operators.pages import extract_papers
+from litsearch.sources.documents import (
+    read_docs_tsv, require_unique, with_doc_id, with_lists, write_docs_tsv,
+)
 from litsearch.sources.wiki import read_wiki_dump
 from litsearch.schemas import text_schema
 
@@ -71,6 +74,19 @@ def test_every_phrase_before_a_topic(spark, phrase):
 def test_documents_with_the_same_link_are_one(spark, docs, rows):
     twice = docs.unionByName(docs.withColumn("doc_id", docs.doc_id + 10))
     assert rows(topics.distinct_documents(twice), "doc_id", "link", "author_keys") == rows(docs)
+    assert rows(topics.distinct_documents(twice, "link"), "doc_id", "link", "author_keys") == rows(docs)
+    # an empty link says nothing about a document
+    unlinked = twice.withColumn("link", F.when(F.col("link") == "a", "").otherwise(F.col("link")))
+    assert topics.distinct_documents(unlinked, "link").count() == docs.count() + 1
+
+
+def test_documents_without_a_link_stay_apart(spark):
+    pages = spark.createDataFrame(list(enumerate(golden.PAPER_PAGES)), "page_id long, html string")
+    docs = with_doc_id(extract_papers(pages).drop("page_id"))
+    assert topics.distinct_documents(docs.unionByName(docs)).count() == 5
+    require_unique(docs)
+    with pytest.raises(ValueError):
+        require_unique(docs.unionByName(docs))
 
 
 def test_empty_keys_give_no_topic(spark, rows):
@@ -146,7 +162,7 @@ def test_tsv_keeps_quotes_tabs_newlines_and_blanks(spark, tmp_path):
         'l2\t"tab\there"\t\tx\n'
         'l3\t"two\nlines"\tc\ty;\n'
         "l4\t ends \td\tz\n")
-    docs = with_lists(read_docs_tsv(spark, str(source), text_schema(columns)),
+    docs = with_lists(read_docs_tsv(spark, str(source), text_schema(columns), multi_line=True),
                       ["ieee_keys", "author_keys"])
     want = [
         ("l1", 'a "quoted" title', ["a", "b"], None),
@@ -158,7 +174,7 @@ def test_tsv_keeps_quotes_tabs_newlines_and_blanks(spark, tmp_path):
     again = str(tmp_path / "again")
     write_docs_tsv(docs, again)
     write_docs_tsv(docs, again)
-    back = with_lists(read_docs_tsv(spark, again, text_schema(columns)), ["ieee_keys", "author_keys"])
+    back = with_lists(read_docs_tsv(spark, again, text_schema(columns), multi_line=True), ["ieee_keys", "author_keys"])
     # an empty list and a missing one look the same in a file
     filled = back.withColumns({c: F.coalesce(c, F.array().cast("array<string>"))
                                for c in ("ieee_keys", "author_keys")})
