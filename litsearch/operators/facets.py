@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 
 from litsearch.fixed_values import DEFAULT_FIELD
 from litsearch.functions.text import normalise_topic
-from litsearch.operators.joins import fits_broadcast, lookup_join
+from litsearch.operators.joins import asked_rows, few_values, fits_broadcast, lookup_join
 from litsearch.operators.search import placed_terms
 from litsearch.sources.index_store import Index
 
@@ -16,7 +16,7 @@ SHOWN_BY_KEYS = ("title", "link", "ieee_keys", "author")
 
 def topic_documents(index: Index, hits: DataFrame, clauses: DataFrame,
                     fields: tuple[str, ...] | None = None) -> DataFrame:
-    """Hits that hold an asked topic as a whole key: ``query_id, topic, doc_id, occurrences``.
+    """Ranked hits that hold an asked topic as a whole key: ``query_id, topic, doc_id, occurrences, rank``.
 
     A topic counts in every column the query names, or in ``fields`` when given.
     Keys of list columns are looked up in the index, so only the folders of asked
@@ -40,7 +40,13 @@ def topic_documents(index: Index, hits: DataFrame, clauses: DataFrame,
     terms, on = placed_terms(keys, index.buckets)
     found = lookup_join(index.key_postings, terms, on).select("query_id", "topic", "doc_id", "tf")
     if texts:
-        values = (index.docs.select("doc_id", F.explode(F.array(*[
+        # only the hits' columns are cut into values
+        texts_of = index.docs.select("doc_id", *texts)
+        found_ids = hits.select("doc_id").distinct()
+        if fits_broadcast(found_ids):
+            texts_of = asked_rows(texts_of, "doc_id", few_values(found_ids, "doc_id"))
+            found_ids = F.broadcast(found_ids)
+        values = (texts_of.join(found_ids, "doc_id", "left_semi").select("doc_id", F.explode(F.array(*[
                       F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in texts
                   ])).alias("e"))
                   .select("doc_id", "e.field", normalise_topic(F.col("e.value")).alias("topic")))
@@ -48,9 +54,10 @@ def topic_documents(index: Index, hits: DataFrame, clauses: DataFrame,
         found = found.unionByName(whole.select(
             "query_id", "topic", "doc_id", F.lit(1).cast("bigint").alias("tf")))
     # the join and the grouping share one shuffle by (query_id, doc_id)
-    return (found.join(hits.select("query_id", "doc_id"), ["query_id", "doc_id"])
-            .groupBy("query_id", "doc_id", "topic").agg(F.sum("tf").alias("occurrences"))
-            .select("query_id", "topic", "doc_id", "occurrences"))
+    return (found.join(hits.select("query_id", "doc_id", "rank"), ["query_id", "doc_id"])
+            .groupBy("query_id", "doc_id", "topic")
+            .agg(F.sum("tf").alias("occurrences"), F.min("rank").alias("rank"))
+            .select("query_id", "topic", "doc_id", "occurrences", "rank"))
 
 
 def topic_counts(topic_docs: DataFrame, distinct: bool = True) -> DataFrame:
@@ -73,8 +80,16 @@ def clause_counts(clause_hits: DataFrame, hits: DataFrame) -> DataFrame:
             .groupBy("query_id", "clause_id").agg(F.count(F.lit(1)).alias("n_docs")))
 
 
+def results_by_clause(clause_hits: DataFrame, hits: DataFrame) -> DataFrame:
+    """Ranked hits under each clause they matched: ``query_id, clause_id, doc_id, rank``."""
+    return (clause_hits.select("query_id", "clause_id", "doc_id")
+            .join(hits.select("query_id", "doc_id", "rank"), ["query_id", "doc_id"])
+            .groupBy("query_id", "doc_id", "clause_id").agg(F.min("rank").alias("rank"))
+            .select("query_id", "clause_id", "doc_id", "rank"))
+
+
 def results_by_topic(topic_docs: DataFrame, counts: DataFrame, repeat: bool = False) -> DataFrame:
-    """Documents in topic order: ``query_id, place, topic, doc_id``.
+    """Documents in topic order, and by ``rank`` inside a topic: ``query_id, place, topic, doc_id, rank``.
 
     A document is listed once, under its most frequent topic; with ``repeat``
     under each of its topics.
@@ -82,12 +97,12 @@ def results_by_topic(topic_docs: DataFrame, counts: DataFrame, repeat: bool = Fa
     order = W.partitionBy("query_id").orderBy(F.desc("n_docs"), "topic")
     # one row per asked topic
     places = counts.select("query_id", "topic", F.row_number().over(order).alias("place"))
-    rows = lookup_join(topic_docs.select("query_id", "topic", "doc_id"), places,
+    rows = lookup_join(topic_docs.select("query_id", "topic", "doc_id", "rank"), places,
                        ["query_id", "topic"])
     if repeat:
-        return rows.select("query_id", "place", "topic", "doc_id")
-    return (rows.groupBy("query_id", "doc_id").agg(F.min(F.struct("place", "topic")).alias("first"))
-            .select("query_id", "first.place", "first.topic", "doc_id"))
+        return rows.select("query_id", "place", "topic", "doc_id", "rank")
+    return (rows.groupBy("query_id", "doc_id").agg(F.min(F.struct("place", "topic", "rank")).alias("first"))
+            .select("query_id", "first.place", "first.topic", "doc_id", "first.rank"))
 
 
 def show_documents(rows: DataFrame, docs: DataFrame,
@@ -98,6 +113,7 @@ def show_documents(rows: DataFrame, docs: DataFrame,
     """
     shown = docs.select("doc_id", *columns)
     if fits_broadcast(rows):
+        shown = asked_rows(shown, "doc_id", few_values(rows, "doc_id"))
         return shown.join(F.broadcast(rows), "doc_id")
     return rows.join(shown, "doc_id")
 

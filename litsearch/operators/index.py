@@ -18,23 +18,36 @@ from litsearch.functions.text import lower_keys, words
 
 @dataclass(frozen=True)
 class IndexConfig:
-    """Which columns are key lists, which are searched, which are only returned."""
+    """Which columns are key lists, which are searched, which are only returned.
+
+    ``rest`` says what becomes of columns no other part names: ``searched`` (text and
+    key lists; other types are stored), ``stored``, or nothing.
+    """
 
     list_fields: tuple[str, ...] = ()
     text_fields: tuple[str, ...] = ()
     stored_fields: tuple[str, ...] = field(default=())
     position_gap: int = 0
+    rest: str = ""
 
     @property
     def searched(self) -> tuple[str, ...]:
         return self.text_fields + self.list_fields
 
-    def within(self, docs: DataFrame) -> "IndexConfig":
-        """The same choice, limited to columns the table has."""
+    def within(self, docs: DataFrame, doc_id: str = "doc_id") -> "IndexConfig":
+        """The same choice for the columns the table has, every column of the rest named."""
         def have(names):
             return tuple(n for n in names if n in docs.columns)
-        return replace(self, list_fields=have(self.list_fields),
-                       text_fields=have(self.text_fields), stored_fields=have(self.stored_fields))
+        lists, texts, stored = (have(n) for n in (
+            self.list_fields, self.text_fields, self.stored_fields))
+        kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+        rest = [n for n in docs.columns if n not in {doc_id, *lists, *texts, *stored}]
+        if self.rest == "searched":
+            lists += tuple(n for n in rest if kinds[n] == "array<string>")
+            texts += tuple(n for n in rest if kinds[n] == "string")
+        if self.rest:
+            stored += tuple(n for n in rest if n not in lists + texts)
+        return replace(self, list_fields=lists, text_fields=texts, stored_fields=stored, rest="")
 
 
 _TEXT = ("link", "title", "author", "content", "publisher", "year", "pages")
@@ -42,14 +55,17 @@ _TEXT = ("link", "title", "author", "content", "publisher", "year", "pages")
 GENERAL = IndexConfig(
     list_fields=("ieee_keys", "author_keys", "merged_keys", "combined_topics"),
     text_fields=_TEXT,
+    rest="searched",
 )
 TOPICS = IndexConfig(
     list_fields=("combined_topics", "merged_keys"),
     stored_fields=_TEXT + ("ieee_keys", "author_keys"),
+    rest="stored",
 )
 KEYS = IndexConfig(
     list_fields=("ieee_keys", "author_keys", "merged_keys"),
     stored_fields=_TEXT,
+    rest="stored",
 )
 PRESETS = {"general": GENERAL, "topics": TOPICS, "keys": KEYS}
 
@@ -68,6 +84,9 @@ def _token_stream(values: Column, gap: int) -> Column:
 
 def _per_field(docs: DataFrame, fields: dict[str, Column], doc_id: str) -> DataFrame:
     """One row per document and field: ``doc_id, field, entry``."""
+    if not fields:
+        return docs.select(F.col(doc_id).alias("doc_id"), F.lit("").alias("field"),
+                           F.array().cast("array<string>").alias("entry")).filter(F.lit(False))
     entries = F.array(*[
         F.struct(F.lit(name).alias("field"), entry.alias("entry"))
         for name, entry in fields.items()
@@ -82,6 +101,7 @@ def build_token_postings(docs: DataFrame, config: IndexConfig, doc_id: str = "do
     The outer explode is on purpose: the inner form gets a size filter inferred
     and would group the words of each row twice.
     """
+    config = config.within(docs, doc_id)
     none = F.array().cast("array<string>")
     fields = {f: F.array(F.coalesce(F.col(f), F.lit(""))) for f in config.text_fields}
     fields |= {f: F.coalesce(F.col(f), none) for f in config.list_fields}
@@ -136,5 +156,6 @@ def doc_lengths(postings: DataFrame) -> DataFrame:
 
 def doc_store(docs: DataFrame, config: IndexConfig, doc_id: str = "doc_id") -> DataFrame:
     """What is returned with a hit."""
-    names = [n for n in config.stored_fields + config.searched if n in docs.columns]
+    config = config.within(docs, doc_id)
+    names = config.stored_fields + config.searched
     return docs.select(F.col(doc_id).alias("doc_id"), *dict.fromkeys(names))

@@ -15,18 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from litsearch.fixed_values import (
-    DEFAULT_FIELD, GENERAL_HITS, LIST_SEPARATOR, MISSING_TERM, WRONG_PAIR,
+    DEFAULT_FIELD, MISSING_TERM, WRONG_PAIR,
 )
 from litsearch.functions import bm25
 from litsearch.functions.text import words
-from litsearch.operators.joins import even_slice, fits_broadcast, lookup_join, survey
+from litsearch.operators.joins import (
+    asked_rows, even_slice, few_values, fits_broadcast, lookup_join, survey,
+)
 from litsearch.sources.index_store import Index, bucket_of
 from litsearch.sources.scratch import materialise
 
 WORD_KINDS = ["term", "phrase", "any_word"]
 PATTERN_KINDS = ["prefix", "wildcard", "fuzzy", "range"]
 KINDS = ["key", *WORD_KINDS, *PATTERN_KINDS]
-RANK_SLICES = 256
 
 
 # --- clause rows ------------------------------------------------------------
@@ -102,7 +103,10 @@ def key_lookup(key_postings: DataFrame, clauses: DataFrame, buckets: int = 0,
                small: bool | None = None) -> DataFrame:
     """Documents holding exactly one key in one column: ``…, doc_id, tf``."""
     terms, on = placed_terms(_key_terms(clauses), buckets)
-    hits = lookup_join(key_postings, terms, on, small=small)
+    if small is None:
+        small = fits_broadcast(terms)
+    wanted = asked_rows(key_postings, "term", few_values(terms, "term") if small else None)
+    hits = lookup_join(wanted, terms, on, small=small)
     return hits.select("query_id", "clause_id", "doc_id", "tf")
 
 
@@ -164,23 +168,44 @@ def weigh_words(index: Index, rows: DataFrame, small: bool | None = None) -> Dat
 def term_search(index: Index, weighted: DataFrame, small: bool | None = None) -> DataFrame:
     """Hits of term and any-word clauses, one row per word and document."""
     terms, on = placed_terms(weighted.filter(F.col("kind") != "phrase"), index.buckets)
-    hits = lookup_join(index.postings.select(*on, "doc_id", "tf", "doc_len"), terms, on,
-                       small=small)
+    hits = _postings_of(index, terms, on, ["doc_id", "tf", "doc_len"], small)
     return hits.select("query_id", "clause_id", "doc_id", bm25.score(
         F.col("idf"), F.col("tf"), F.col("doc_len"), F.col("avg_len")).alias("score"))
 
 
+def _postings_of(index: Index, terms: DataFrame, on: list[str], columns: list[str],
+                 small: bool | None) -> DataFrame:
+    """Postings of the terms asked for, read once.
+
+    Few terms are pushed into the scan. Of many, the dictionary knows which have very
+    many postings.
+    """
+    if small is None:
+        small = fits_broadcast(terms)
+    postings = index.postings.select(*on, *columns)
+    if small:
+        return lookup_join(asked_rows(postings, "term", few_values(terms, "term")), terms, on, small=True)
+    counts = index.dictionary.join(terms.select(*on).distinct(), on).select(*on, F.col("df").alias("_n"))
+    return lookup_join(postings, terms, on, small=False, counts=counts)
+
+
 def phrase_search(index: Index, weighted: DataFrame, small: bool | None = None) -> DataFrame:
     """Hits of phrase clauses: all words next to each other, in order.
 
-    Word starts are intersected inside the row of a document, so positions are
-    moved once and never multiplied. The frequency of a phrase is the number of
-    its starts, its idf the sum over its words.
+    Documents that hold all words are found first, without positions, and stored;
+    positions are then read and moved for those only. Word starts are intersected inside
+    the row of a document. The frequency of a phrase is the number of its starts, its
+    idf the sum over its words.
     """
-    # a phrase with a word the index lacks has too few rows and drops out below
     words_of, on = placed_terms(weighted.filter(F.col("kind") == "phrase"), index.buckets)
-    columns = [*on, "doc_id", "doc_len", "positions"]
-    hits = lookup_join(index.postings.select(*columns), words_of, on, small=small)
+    place = ["query_id", "clause_id", "doc_id"]
+    # a phrase with a word the index lacks has too few rows and drops out here
+    whole = materialise(
+        _postings_of(index, words_of, on, ["doc_id"], small).groupBy(*place)
+        .agg(F.count(F.lit(1)).alias("n"), F.first("n_words").alias("n_words"))
+        .filter("n = n_words").select(*place), "documents_with_all_words")
+    hits = lookup_join(_postings_of(index, words_of, on, ["doc_id", "doc_len", "positions"], small),
+                       whole, place, "left_semi")
     docs = hits.groupBy("query_id", "clause_id", "doc_id").agg(
         F.first("n_words").alias("n_words"),
         F.collect_list(F.transform("positions", lambda p: p - F.col("word_no"))).alias("starts"),
@@ -216,23 +241,37 @@ def term_expand(dictionary: DataFrame, clauses: DataFrame,
             .when(kind == "wildcard", F.rlike("term", "regex"))
             .when(kind == "fuzzy", F.levenshtein("term", "wanted", 2) >= 0)
             .otherwise(F.col("term").between(F.col("low"), F.col("high"))))
-    return (lookup_join(dictionary.select("field", "term"), patterns, ["field"], spread=("term",),
-                        small=small)
-            .filter(fits).select("query_id", "clause_id", "field", "term"))
+    # most patterns say how their terms begin: those meet only such terms
+    first = F.nullif(F.substring("wanted", 1, 1), F.lit(""))
+    begin = (F.when(kind == "prefix", first)
+             .when((kind == "wildcard") & ~first.isin("*", "?"), first)
+             .when((kind == "range") & (F.substring("low", 1, 1) == F.substring("high", 1, 1)),
+                   F.substring("low", 1, 1)))
+    patterns = patterns.withColumn("begin", begin)
+    terms = dictionary.select("field", "term", F.substring("term", 1, 1).alias("begin"))
+    parts = [
+        lookup_join(terms, patterns.filter("begin IS NOT NULL"), ["field", "begin"], spread=("term",),
+                    small=small),
+        lookup_join(terms.drop("begin"), patterns.filter("begin IS NULL").drop("begin"), ["field"],
+                    spread=("term",), small=small),
+    ]
+    return reduce(DataFrame.unionByName, [
+        p.filter(fits).select("query_id", "clause_id", "field", "term") for p in parts])
 
 
 def pattern_search(index: Index, expanded: DataFrame) -> DataFrame:
     """Hits of pattern clauses, one row per clause and document, all scored 1."""
     terms, on = placed_terms(expanded, index.buckets)
-    hits = lookup_join(index.postings.select(*on, "doc_id"), terms, on)
+    hits = _postings_of(index, terms, on, ["doc_id"], None)
     return (hits.select("query_id", "clause_id", "doc_id").distinct()
             .withColumn("score", F.lit(1.0)))
 
 
 # --- documents ------------------------------------------------------------------
 
-def _slice() -> Column:
-    return even_slice(RANK_SLICES, "doc_id")
+def _slice(hits: DataFrame) -> Column:
+    """Slices grow with the cluster's shuffles, so they stay as small as partitions."""
+    return even_slice(int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
 
 
 def _documents(hits: DataFrame, clauses: DataFrame, small: bool) -> DataFrame:
@@ -241,7 +280,9 @@ def _documents(hits: DataFrame, clauses: DataFrame, small: bool) -> DataFrame:
     One shuffle, by (query, slice): clause rows, documents and later the ranking
     inside a slice all use it. The hits of one query are spread over all slices.
     """
-    placed = (hits.withColumn("slice", _slice())
+    if not small:
+        hits = materialise(hits, "clause_hits")  # looked at more than once below
+    placed = (hits.withColumn("slice", _slice(hits))
               .repartition(F.col("query_id"), F.col("slice")))
     per_clause = placed.groupBy("query_id", "slice", "doc_id", "clause_id").agg(
         F.sum("score").alias("score"))
@@ -268,16 +309,16 @@ def boolean_search(hits: DataFrame, clauses: DataFrame) -> DataFrame:
     return _documents(hits, clauses, fits_broadcast(clauses)).drop("slice")
 
 
-def rank_bm25(matches: DataFrame, n: int | None = GENERAL_HITS) -> DataFrame:
-    """The best ``n`` documents of each query: adds ``rank``; ties by ``doc_id``.
+def rank_bm25(matches: DataFrame, n: int | None = None) -> DataFrame:
+    """The best ``n`` documents of each query, or all: adds ``rank``; ties by ``doc_id``.
 
-    Ranked inside slices first, then among what the slices kept, so that no task
-    sorts all hits of a query. ``None`` keeps every match, without a rank.
+    The best ``n`` are ranked inside slices first, then among what the slices kept.
+    All are ranked by :func:`rank_all`.
     """
     if n is None:
-        return matches.drop("slice")
+        return rank_all(matches.drop("slice"))
     if "slice" not in matches.columns:
-        matches = matches.withColumn("slice", _slice())
+        matches = matches.withColumn("slice", _slice(matches))
     # sums of the same scores differ in the last digits with their order
     best_first = [F.round("score", 6).desc(), F.col("doc_id")]
     inside = W.partitionBy("query_id", "slice").orderBy(*best_first)
@@ -287,6 +328,29 @@ def rank_bm25(matches: DataFrame, n: int | None = GENERAL_HITS) -> DataFrame:
             .filter(F.col("rank") <= n))
 
 
+def rank_all(matches: DataFrame) -> DataFrame:
+    """Every match with its rank. No task sorts all hits of a query.
+
+    Matches are cut by range of (query, score, document), numbered inside a range, and
+    moved on by the number of the query's matches in the ranges before.
+    """
+    parts = int(matches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["query_id", "_order", "doc_id"]
+    # sums of the same scores differ in the last digits with their order
+    placed = materialise(matches.withColumn("_order", -F.round("score", 6))
+                         .repartitionByRange(parts, *order)
+                         .withColumn("_range", F.spark_partition_id()), "ranges_of_hits")
+    inside = W.partitionBy("query_id", "_range").orderBy("_order", "doc_id")
+    before = W.partitionBy("query_id").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    sizes = placed.groupBy("query_id", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    moved = sizes.select("query_id", "_range",
+                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = placed.withColumn("_at", F.row_number().over(inside))
+    return (lookup_join(numbered, moved, ["query_id", "_range"])
+            .withColumn("rank", F.col("_before") + F.col("_at"))
+            .select(*matches.columns, "rank"))
+
+
 def all_clause_hits(index: Index, clauses: DataFrame, default_field: str = DEFAULT_FIELD,
                     rest_field: str | None = None) -> DataFrame:
     """Hits of every kind of clause together. Small jobs look at the clauses first."""
@@ -317,7 +381,7 @@ def _clause_hits(index: Index, clauses: DataFrame, small: bool, asked: set[str],
     return reduce(DataFrame.unionByName, parts)
 
 
-def search(index: Index, clauses: DataFrame, n: int | None = GENERAL_HITS,
+def search(index: Index, clauses: DataFrame, n: int | None = None,
            default_field: str = DEFAULT_FIELD, rest_field: str | None = None) -> DataFrame:
     """Ranked hits of all queries: ``query_id, doc_id, score, rank``."""
     small, asked = survey(clauses, "kind", KINDS)

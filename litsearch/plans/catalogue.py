@@ -1,17 +1,20 @@
 """Queries over the test tables, one or more per operator."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litsearch.functions.text import decode_list, doc_key, encode_list
 from litsearch.operators import facets, index, pages, search, topics
 from litsearch.plans import standins as S
-from litsearch.plans.answers import compare_clauses, compare_topics, ranked_hits
+from litsearch.plans.answers import (
+    compare_clauses, compare_topics, documents_by_clause, ranked_hits,
+)
 from litsearch.schemas import ENRICHED_DOCUMENTS, text_schema
 from litsearch.sources import documents as docs_io
 from litsearch.sources import pages as pages_io
 from litsearch.sources import wiki as wiki_io
-from litsearch.sources.index_store import build_index, read_index, write_index
 from litsearch.sources.scratch import materialise, scratch_folder
 from litsearch.streaming.incremental import (
     extract_incremental, refresh_frontier_stream, visited_table,
@@ -206,15 +209,21 @@ def q13_distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
     return topics.distinct_keys(S.papers(spark, sf), "merged_keys")
 
 
-def _matched(spark: SparkSession, sf: str) -> DataFrame:
+def _matched(spark: SparkSession, sf: str, small: bool | None = None) -> DataFrame:
     keys = materialise(topics.distinct_keys(S.stored_papers(spark, sf), "ieee_keys"), "keys")
-    return topics.match_wiki_pages(S.wiki(spark, sf), keys)
+    return topics.match_wiki_pages(S.wiki(spark, sf), keys, small)
 
 
 def q14_match(spark: SparkSession, sf: str) -> DataFrame:
     return _matched(spark, sf).select(
-        "id", "key", F.col("title_match").cast("int").alias("title_match"),
-        F.length("text").cast("bigint").alias("n_chars"))
+        "id", "key", F.col("title_match").cast("int").alias("title_match"), "n_chars")
+
+
+def q14_match_many_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The way taken when keys are too many to broadcast."""
+    return _matched(spark, sf, small=False).select(
+        "id", "key", F.col("title_match").cast("int").alias("title_match"), "n_chars",
+        F.array_join("topics", ";").alias("topics"))
 
 
 def q15_categories(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,7 +232,7 @@ def q15_categories(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q16_topic_rule(spark: SparkSession, sf: str) -> DataFrame:
-    return topics.page_topics(_matched(spark, sf)).select(
+    return _matched(spark, sf).select(
         "id", "key", F.array_join("topics", ";").alias("topics"))
 
 
@@ -266,14 +275,20 @@ def q21_export(spark: SparkSession, sf: str) -> DataFrame:
 # --- index -----------------------------------------------------------------------
 
 def q22_presets(spark: SparkSession, sf: str) -> DataFrame:
-    docs = S.enriched_papers(spark, sf).docs
-    parts = [
-        index.build_token_postings(docs, preset).groupBy("field").agg(
+    """Sizes of what each preset searches; ``remark`` is a column no preset names."""
+    docs = S.enriched_papers(spark, sf).docs.withColumn(
+        "remark", F.concat_ws(" ", "publisher", "year"))
+    parts = []
+    for name, preset in index.PRESETS.items():
+        searched = index.build_token_postings(docs, preset).groupBy("field").agg(
             F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_words"))
-        .withColumn("preset", F.lit(name))
-        for name, preset in index.PRESETS.items()
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        stored = index.doc_store(docs, preset)
+        kept = stored.agg(F.count("remark").alias("n_postings"),
+                          F.sum(F.length("remark")).alias("n_words"))
+        parts += [searched.withColumn("preset", F.lit(name)),
+                  kept.select(F.lit("stored remark").alias("field"), "n_postings", "n_words",
+                              F.lit(name).alias("preset"))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _text_postings(spark: SparkSession, sf: str) -> DataFrame:
@@ -383,6 +398,13 @@ def q36_bm25(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(facets.results_by_score(ranked, found.docs, ("lang", "source")))
 
 
+def q36_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every match ranked and shown in score order."""
+    found = S.document_index(spark, sf)
+    ranked = ranked_hits(found, S.clause_table(spark, RANKED_QUERIES))
+    return _rounded(facets.results_by_score(ranked, found.docs, ("lang", "source")))
+
+
 def q36_papers(spark: SparkSession, sf: str) -> DataFrame:
     found = S.paper_index(spark, sf)
     ranked = ranked_hits(found, S.clause_table(spark, COMPARED_CLAUSES))
@@ -403,7 +425,7 @@ def q38_expand(spark: SparkSession, sf: str) -> DataFrame:
 
 def q38_expanded_hits(spark: SparkSession, sf: str) -> DataFrame:
     clauses = S.clause_table(spark, PATTERN_QUERIES)
-    return search.search(S.document_index(spark, sf), clauses, None)
+    return search.search(S.document_index(spark, sf), clauses).drop("rank")
 
 
 # --- counts --------------------------------------------------------------------------
@@ -416,7 +438,7 @@ def q39_topic_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def q40_occurrences(spark: SparkSession, sf: str) -> DataFrame:
     clauses = S.clause_table(spark, COMPARED_TOPICS)
-    counts = compare_topics(S.paper_index(spark, sf), clauses, n=10000, distinct=False,
+    counts = compare_topics(S.paper_index(spark, sf), clauses, distinct=False,
                             fields=("ieee_keys",)).counts
     return counts.withColumn("place", F.col("place").cast("bigint"))
 
@@ -426,6 +448,10 @@ def q41_clause_counts(spark: SparkSession, sf: str) -> DataFrame:
     return compare_clauses(S.paper_index(spark, sf), clauses)[1]
 
 
+def q41_by_clause(spark: SparkSession, sf: str) -> DataFrame:
+    return documents_by_clause(S.paper_index(spark, sf), S.clause_table(spark, COMPARED_CLAUSES))
+
+
 def q42_by_topic(spark: SparkSession, sf: str) -> DataFrame:
     found = S.paper_index(spark, sf)
     clauses = S.clause_table(spark, COMPARED_TOPICS)
@@ -458,10 +484,40 @@ def q44_xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q45_index_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_folder(spark, "index")
-    write_index(build_index(S.stored_papers(spark, sf), index.GENERAL), path)
-    stored = read_index(spark, path)
-    return stored.dictionary.select("field", "term", "df", "cf")
+    return S.plain_paper_index(spark, sf).dictionary.select("field", "term", "df", "cf")
+
+
+def q45_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return S.plain_paper_index(spark, sf).postings.select(
+        "field", "term", "doc_id", "tf", "doc_len", F.array_join("positions", ";").alias("positions"))
+
+
+def q45_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return S.plain_paper_index(spark, sf).key_postings.select("field", "term", "doc_id", "tf")
+
+
+def q45_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return S.plain_paper_index(spark, sf).stats.withColumn("avg_len", F.round("avg_len", 6))
+
+
+def q45_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return S.plain_paper_index(spark, sf).docs.select(
+        "doc_id", "title", "link", "publisher", _joined("merged_keys").alias("merged_keys"))
+
+
+def q46_page_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages written and read one to a line."""
+    path = scratch_folder(spark, "page_lines")
+    pages_io.write_page_lines(S.table(spark, sf, "pages"), path, "html")
+    return pages_io.read_page_lines(spark, path)
+
+
+def q46_page_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages written and read one to a file."""
+    path = scratch_folder(spark, "page_files")
+    (S.table(spark, sf, "pages").select("page_id", "html").repartition(8, "page_id")
+     .write.partitionBy("page_id").text(path))
+    return pages_io.read_page_files(spark, path).select("value")
 
 
 # --- streams ---------------------------------------------------------------------------
@@ -490,5 +546,17 @@ def s02_frontier_stream(spark: SparkSession, sf: str) -> DataFrame:
     return visited_table(spark, visited).select("url", "page_id")
 
 
+def s03_seeded_frontier(spark: SparkSession, sf: str) -> DataFrame:
+    """As before, with links known before the stream began."""
+    folder = scratch_folder(spark, "stream")
+    source, visited, checkpoint = (f"{folder}/{n}" for n in ("source", "visited", "checkpoint"))
+    stored = S.table(spark, sf, "pages")
+    seed = materialise(_known_links(spark, sf), "known_links")
+    stored.write.parquet(source)
+    arriving = spark.readStream.schema(stored.schema).parquet(source)
+    refresh_frontier_stream(arriving, visited, checkpoint, S.LINK_PATTERN, S.LINK_BASE, seed=seed)
+    return visited_table(spark, visited).select("url", "page_id")
+
+
 QUERIES = {name: f for name, f in globals().items()
            if name[:1] in "qs" and name[1:3].isdigit() and callable(f)}

@@ -5,7 +5,7 @@ from litsearch.fixed_values import (
 )
 from litsearch.plans import catalogue as Q
 
-SPLIT = r"[^\p{L}\p{N}]+"
+SPLIT = r"[^\p{L}\p{N}\p{M}]+"
 
 
 def _values(name: str, rows: list[tuple]) -> str:
@@ -47,7 +47,7 @@ PAPERS = rf"""papers0 AS (
          {NAV} AS ieee_keys
   FROM flat),
 papers1 AS (
-  SELECT *, list_filter(string_split(title, ' '), lambda x: x <> '')[1:5] AS author_keys FROM papers0),
+  SELECT *, list_filter(string_split(title, ' '), lambda x: x <> '') AS author_keys FROM papers0),
 papers AS (
   SELECT *, (SELECT coalesce(list(k ORDER BY place), []) FROM (
      SELECT k, min(i) AS place FROM (
@@ -203,7 +203,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM matches)"""
 
 
-def _topic_docs(fields: list[str] | None, n: int) -> str:
+def _topic_docs(fields: list[str] | None) -> str:
     """``topic_docs(query_id, topic, doc_id, occurrences)`` and ``counts``."""
     lists = fields or _LISTS
     keys = " UNION ALL ".join(
@@ -214,9 +214,9 @@ def _topic_docs(fields: list[str] | None, n: int) -> str:
   SELECT doc_id, field, regexp_replace(lower(k), ' $', '') AS topic FROM ({keys}) WHERE k <> ''),
 asked AS (SELECT DISTINCT query_id, lower(trim(value)) AS topic FROM clauses),
 topic_docs AS (
-  SELECT a.query_id, a.topic, k.doc_id, count(*) AS occurrences
+  SELECT a.query_id, a.topic, k.doc_id, count(*) AS occurrences, min(r.rank) AS rank
   FROM asked a JOIN doc_topics k ON k.topic = a.topic {named}
-  JOIN ranked r ON r.query_id = a.query_id AND r.doc_id = k.doc_id AND r.rank <= {n}
+  JOIN ranked r ON r.query_id = a.query_id AND r.doc_id = k.doc_id
   GROUP BY a.query_id, a.topic, k.doc_id)"""
 
 
@@ -268,7 +268,8 @@ WHERE n = needed"""
 
 _NO_QUOTES = "replace({0}, '\"', '')"
 
-PAPER_FIELDS = f"""{_NO_QUOTES.format('link')} AS link, title,
+PAPER_FIELDS = f"""{_NO_QUOTES.format('link')} AS link,
+       title || CASE WHEN doc_id % 5 = 0 THEN chr(8232) || 'and more' || chr(133) || '.' ELSE '' END AS title,
        {_NO_QUOTES.format('publisher')} AS author,
        CASE WHEN doc_id % 7 = 0 THEN '' ELSE {_NO_QUOTES.format('content')}
             || CASE WHEN doc_id % 7 = 1 THEN '...' ELSE '' END END AS content,
@@ -330,6 +331,9 @@ FROM pages""",
 FROM (SELECT unnest(merged_keys) AS k FROM papers) WHERE k <> ''""",
         "q14_match": _with(*PAPER_BASE, WIKI, MATCHED) + """SELECT id, key,
   CAST(title_match AS INTEGER) AS title_match, length(text) AS n_chars FROM matched""",
+        "q14_match_many_keys": _with(*DICTIONARY) + f"""SELECT id, key,
+  CAST(title_match AS INTEGER) AS title_match, length(text) AS n_chars, {LIST_TEXT.format('topics')} AS topics
+FROM ruled JOIN matched USING (id, key, title_match)""",
         "q15_categories": _with(WIKI) + f"""SELECT id,
   CASE WHEN len(c) = 0 THEN 'Not found' ELSE array_to_string(c, ';') END AS categories
 FROM (SELECT id, {CATEGORIES} AS c FROM wiki)""",
@@ -348,11 +352,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY place ORDER BY doc_id) AS n
 FROM papers LEFT JOIN attached USING (doc_id) GROUP BY doc_id""",
         "q21_export": _with(*DICTIONARY) +
             f"SELECT key, {LIST_TEXT.format('topics')} AS topics FROM dictionary",
-        "q22_presets": _with(*PAPER_WORDS) + """, sizes AS (
+        "q22_presets": _with(
+            *ENRICHED_BASE, "noted AS (SELECT *, concat_ws(' ', publisher, year) AS remark FROM enriched)",
+            _tokens("noted", [*_TEXT, "remark"], _LISTS), POSTINGS) + """, sizes AS (
   SELECT field, count(*) AS n_postings, CAST(sum(tf) AS BIGINT) AS n_words FROM postings GROUP BY field)
 SELECT 'general' AS preset, * FROM sizes
 UNION ALL SELECT 'topics', * FROM sizes WHERE field IN ('combined_topics', 'merged_keys')
-UNION ALL SELECT 'keys', * FROM sizes WHERE field IN ('ieee_keys', 'author_keys', 'merged_keys')""",
+UNION ALL SELECT 'keys', * FROM sizes WHERE field IN ('ieee_keys', 'author_keys', 'merged_keys')
+UNION ALL SELECT preset, 'stored remark', count(remark), CAST(sum(length(remark)) AS BIGINT)
+FROM noted, (VALUES ('general'), ('topics'), ('keys')) p(preset) GROUP BY preset""",
         "q23_token_postings": text_words + f"""SELECT field, term, doc_id, tf,
   {LIST_TEXT.format('positions')} AS positions FROM postings""",
         "q24_key_postings": _with(*KEY_BASE) + "SELECT field, term, doc_id, tf FROM key_postings",
@@ -385,40 +393,54 @@ FROM asked LEFT JOIN key_terms USING (field, term)""",
   round(score, 6) AS score, CAST(rank AS INTEGER) AS rank, lang, source
 FROM ranked JOIN documents USING (doc_id) WHERE rank <= 50""",
         "q36_papers": _with(*_papers_search(Q.COMPARED_CLAUSES)) + f"""SELECT query_id, doc_id,
-  round(score, 6) AS score, CAST(rank AS INTEGER) AS rank, title, link, author,
+  round(score, 6) AS score, rank, title, link, author,
   {LIST_TEXT.format('merged_keys')} AS merged_keys, {LIST_TEXT.format('combined_topics')} AS combined_topics
-FROM ranked JOIN enriched USING (doc_id) WHERE rank <= 2000""",
+FROM ranked JOIN enriched USING (doc_id)""",
         "q37_any_word": _with(*_papers_search(Q.COMPARED_TOPICS)) + """SELECT query_id, doc_id,
-  round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 2000""",
+  round(score, 6) AS score, rank FROM ranked""",
         "q38_expand": _with(*TEXT_WORDS, _values("clauses", Q.PATTERN_QUERIES), _EXPANDED) +
             "SELECT query_id, clause_id, field, term FROM expanded",
         "q38_expanded_hits": _with(*TEXT_WORDS, _values("clauses", Q.PATTERN_QUERIES), _EXPANDED) +
             """SELECT query_id, doc_id, CAST(count(DISTINCT clause_id) AS DOUBLE) AS score
 FROM expanded JOIN postings USING (field, term) GROUP BY query_id, doc_id""",
-        "q39_topic_counts": _with(*_papers_search(Q.COMPARED_TOPICS), _topic_docs(None, 2000),
+        "q39_topic_counts": _with(*_papers_search(Q.COMPARED_TOPICS), _topic_docs(None),
                                   _counts("count(*)")) +
             "SELECT query_id, topic, n_docs, place FROM counts",
-        "q40_occurrences": _with(*_papers_search(Q.COMPARED_TOPICS), _topic_docs(["ieee_keys"], 10000),
+        "q40_occurrences": _with(*_papers_search(Q.COMPARED_TOPICS), _topic_docs(["ieee_keys"]),
                                  _counts("sum(occurrences)")) +
             "SELECT query_id, topic, n_docs, place FROM counts",
         "q41_clause_counts": _with(*_papers_search(Q.COMPARED_CLAUSES)) + """SELECT query_id, clause_id,
   count(DISTINCT doc_id) AS n_docs
-FROM hits JOIN ranked USING (query_id, doc_id) WHERE rank <= 2000 GROUP BY query_id, clause_id""",
-        "q42_by_topic": _with(*_papers_search(Q.COMPARED_TOPICS), _topic_docs(None, 2000),
-                              _counts("count(*)")) + """SELECT query_id, place, topic, doc_id, title, link
-FROM (SELECT query_id, doc_id, topic, place,
+FROM hits JOIN ranked USING (query_id, doc_id) GROUP BY query_id, clause_id""",
+        "q41_by_clause": _with(*_papers_search(Q.COMPARED_CLAUSES)) + """SELECT DISTINCT query_id, clause_id,
+  doc_id, rank FROM hits JOIN ranked USING (query_id, doc_id)""",
+        "q36_all": _with(*_documents_search(Q.RANKED_QUERIES)) + """SELECT query_id, doc_id,
+  round(score, 6) AS score, rank, lang, source FROM ranked JOIN documents USING (doc_id)""",
+        "q42_by_topic": _with(*_papers_search(Q.COMPARED_TOPICS), _topic_docs(None),
+                              _counts("count(*)")) + """SELECT query_id, place, topic, doc_id, rank, title, link
+FROM (SELECT query_id, doc_id, topic, place, rank,
              row_number() OVER (PARTITION BY query_id, doc_id ORDER BY place) AS n
       FROM topic_docs JOIN counts USING (query_id, topic))
 JOIN enriched USING (doc_id) WHERE n = 1""",
-        "q42_by_topic_repeated": _with(*_papers_search(Q.COMPARED_TOPICS), _topic_docs(None, 2000),
+        "q42_by_topic_repeated": _with(*_papers_search(Q.COMPARED_TOPICS), _topic_docs(None),
                                        _counts("count(*)")) +
-            "SELECT query_id, place, topic, doc_id FROM topic_docs JOIN counts USING (query_id, topic)",
+            "SELECT query_id, place, topic, doc_id, rank FROM topic_docs JOIN counts USING (query_id, topic)",
         "q43_tsv_roundtrip": _with(*ENRICHED_BASE) + "SELECT " + ", ".join(_TEXT) + ", " + ", ".join(
             f"{LIST_TEXT.format(c)} AS {c}" for c in _LISTS) + " FROM enriched",
         "q44_xml_roundtrip": _with(WIKI) + """SELECT id, title,
   coalesce(redirect_title, '') AS redirect_title, trim(text) AS text FROM wiki""",
         "q45_index_roundtrip": _with(*PAPER_BASE, _tokens("papers", _TEXT, _LISTS[:3]), POSTINGS) +
             "SELECT field, term, df, cf FROM terms",
+        "q45_postings": _with(*PAPER_BASE, _tokens("papers", _TEXT, _LISTS[:3]), POSTINGS) +
+            f"""SELECT field, term, doc_id, tf, doc_len, {LIST_TEXT.format('positions')} AS positions
+FROM postings JOIN lengths USING (field, doc_id)""",
+        "q45_keys": _with(*KEY_BASE) + "SELECT field, term, doc_id, tf FROM key_postings",
+        "q45_stats": _with(*PAPER_BASE, _tokens("papers", _TEXT, _LISTS[:3]), POSTINGS) +
+            "SELECT field, n_docs, round(avg_len, 6) AS avg_len FROM stats",
+        "q45_docs": _with(*PAPER_BASE) + f"""SELECT doc_id, title, link, publisher,
+  {LIST_TEXT.format('merged_keys')} AS merged_keys FROM papers""",
+        "q46_page_lines": _with(FLAT) + "SELECT html AS value FROM flat",
+        "q46_page_files": _with(FLAT) + "SELECT html AS value FROM flat",
     }
     sql["q32_pairs"] = _with(*KEY_BASE, _pairs()) + """SELECT query_id,
   CAST(clause_id AS INTEGER) AS clause_id, field, value, reason, n_docs
@@ -432,4 +454,5 @@ FROM (SELECT * FROM ({in_documents}) UNION ALL SELECT * FROM ({in_papers}))"""
     sql["s02_frontier_stream"] = _with(FLAT, LINKS) + """SELECT url,
   coalesce(min(page_id) FILTER (page_id % 2 = 0), min(page_id)) AS page_id
 FROM links GROUP BY url"""
+    sql["s03_seeded_frontier"] = sql["q11_frontier"]
     return sql

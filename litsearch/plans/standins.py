@@ -50,13 +50,16 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract(url, r"^[a-z]+://[^/]*/[^0-9]*([0-9]+)", 1).alias("year"),
         F.lit("").alias("pages"),
         "ieee_keys",
-        F.slice(F.filter(F.split("title", " "), lambda w: w != ""), 1, 5).alias("author_keys"),
+        F.filter(F.split("title", " "), lambda w: w != "").alias("author_keys"),
     )
     return merge_keys(docs)
 
 
 def paper_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages in the layout of the paper rules, filled from ``papers``."""
+    """Pages in the layout of the paper rules, filled from ``papers``.
+
+    With blanks and line ends of other kinds where real pages have them.
+    """
     docs = papers(spark, sf_dir)
 
     def items(column):
@@ -69,14 +72,16 @@ def paper_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     odd = F.col("doc_id") % 2 == 1
     shortened = F.when(F.col("doc_id") % 7 == 1, F.lit("...")).otherwise(F.lit(""))
+    blank = F.when(odd, F.lit("\u00a0")).otherwise(F.lit(" "))
+    ending = F.when(F.col("doc_id") % 5 == 0, F.lit("\u2028and more\u0085.")).otherwise(F.lit(""))
     html = F.concat(
         meta('<meta name="parsely-link" content="', F.col("link")),
         meta('<meta  name="parsely-author" content="', F.col("publisher")),
         F.when(F.col("doc_id") % 7 == 0, F.lit("")).otherwise(
             meta('<meta property="og:description" content="', F.concat(F.col("content"), shortened))),
-        F.lit('<h1 class="document-title"><span>'), F.col("title"), F.lit("</span></h1>"),
-        F.lit("<strong>Page(s): </strong>"), F.col("doc_id").cast("string"), F.lit("</div>"),
-        F.lit('<span>Publisher: </span><!----><span class="p">'), F.col("publisher"), F.lit("</span>"),
+        F.lit('<h1 class="document-title"><span>'), F.col("title"), ending, F.lit("</span></h1>"),
+        F.lit("<strong>Page(s): </strong>"), blank, F.col("doc_id").cast("string"), F.lit("</div>"),
+        F.lit("<span>Publisher:"), blank, F.lit('</span><!----><span class="p">'), F.col("publisher"), F.lit("</span>"),
         F.when(odd, F.lit("<b>Copyright Year: <b> ")).otherwise(F.lit("<b>Date of Publication: <b> ")),
         F.col("year"), F.lit("</b>"),
         F.lit("<strong>IEEE Keywords</strong>"), items("ieee_keys"),
@@ -145,7 +150,7 @@ def stored_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched_papers(spark: SparkSession, sf_dir: str) -> Enriched:
     """Papers with topics from the keys of ``ieee_keys``."""
     def build():
-        found = enrich_corpus(stored_papers(spark, sf_dir), wiki(spark, sf_dir), "ieee_keys")
+        found = enrich_corpus(stored_papers(spark, sf_dir), wiki(spark, sf_dir), "ieee_keys", stored=True)
         return Enriched(materialise(found.docs, "enriched"), found.dictionary)
     return _once(spark, sf_dir, "enriched", build)
 
@@ -165,6 +170,12 @@ def document_index(spark: SparkSession, sf_dir: str) -> Index:
     return _once(spark, sf_dir, "document_index", build)
 
 
+def plain_paper_index(spark: SparkSession, sf_dir: str) -> Index:
+    """Index of the papers as they were extracted."""
+    return _once(spark, sf_dir, "plain_paper_index", lambda: _stored_index(
+        spark, stored_papers(spark, sf_dir), GENERAL))
+
+
 def paper_index(spark: SparkSession, sf_dir: str) -> Index:
     """Index of the enriched papers, all columns searched."""
     return _once(spark, sf_dir, "paper_index", lambda: _stored_index(

@@ -2,10 +2,11 @@
 
 Layout: one folder per table. Postings lie in ``field=…/bucket=…``, where the
 bucket is a hash of the term; dictionaries in ``bucket=…``. A search knows its
-fields and terms, so it opens only the folders of its buckets. Inside a file rows
-are sorted by term and document. Partitions are rebalanced at run time before the
-write: a bucket made large by a frequent term is split over several tasks and
-files, and later read by several tasks.
+fields and terms, so it opens only the folders of its buckets. Before the write
+postings are cut by range of (field, bucket, term, document), so each file holds few
+terms, a frequent term is split over several tasks and files, and a scan that is told
+its terms skips the files and row groups without them. The document store is cut by
+range of ``doc_id`` for the same reason.
 """
 
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litsearch.sources.documents import require_unique
 from litsearch.operators.index import (
     IndexConfig, build_key_postings, build_token_postings, doc_store, field_stats, term_dictionary,
 )
@@ -33,6 +35,7 @@ class Index:
     key_dictionary: DataFrame
     docs: DataFrame
     buckets: int = 0
+    config: IndexConfig | None = None
 
 
 def bucket_of(term: Column | str, buckets: int) -> Column:
@@ -41,12 +44,12 @@ def bucket_of(term: Column | str, buckets: int) -> Column:
 
 def build_index(docs: DataFrame, config: IndexConfig, doc_id: str = "doc_id") -> Index:
     """All tables as plans; nothing runs before they are written or searched."""
-    config = config.within(docs)
+    config = config.within(docs, doc_id)
     postings = build_token_postings(docs, config, doc_id)
     keys = build_key_postings(docs, config.list_fields, doc_id) if config.list_fields else (
         postings.select("field", "term", "doc_id", "tf").limit(0))
     return Index(postings, term_dictionary(postings), field_stats(postings), keys,
-                 term_dictionary(keys), doc_store(docs, config, doc_id))
+                 term_dictionary(keys), doc_store(docs, config, doc_id), config=config)
 
 
 def _buckets_for(stored_docs: DataFrame) -> int:
@@ -57,7 +60,7 @@ def _buckets_for(stored_docs: DataFrame) -> int:
 
 def _write_postings(postings: DataFrame, path: str, buckets: int) -> None:
     (postings.withColumn("bucket", bucket_of("term", buckets))
-     .hint("rebalance", "field", "bucket")
+     .repartitionByRange("field", "bucket", "term", "doc_id")
      .sortWithinPartitions("field", "bucket", "term", "doc_id")
      .write.mode("errorifexists").partitionBy("field", "bucket").parquet(path))
 
@@ -72,14 +75,19 @@ def write_index(index: Index, path: str, buckets: int | None = None,
                 table_prefix: str | None = None) -> None:
     """Write every table; raises before any work if an index is there already.
 
-    Dictionaries and statistics are computed from the postings just written, so
-    text is split into words once. With ``table_prefix`` the dictionary and the
+    Postings are built from the document store just written, dictionaries and statistics
+    from the postings, so what lies before the index runs once and text is split once. With ``table_prefix`` the dictionary and the
     document store also become catalog tables bucketed by ``term`` and
     ``doc_id``, whose keys are unique and hence even.
     """
     spark = index.docs.sparkSession
-    index.docs.write.mode("errorifexists").parquet(f"{path}/docs")
-    buckets = buckets or _buckets_for(spark.read.parquet(f"{path}/docs"))
+    (index.docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+     .write.mode("errorifexists").parquet(f"{path}/docs"))
+    stored = spark.read.schema(index.docs.schema).parquet(f"{path}/docs")
+    require_unique(stored)
+    if index.config:
+        index = build_index(stored, index.config)
+    buckets = buckets or _buckets_for(stored)
     _write_postings(index.postings, f"{path}/postings", buckets)
     _write_postings(index.key_postings, f"{path}/key_postings", buckets)
     for name, source in (("dictionary", "postings"), ("key_dictionary", "key_postings")):

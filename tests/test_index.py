@@ -32,6 +32,14 @@ def test_words_with_positions(spark, docs, rows):
     ]
 
 
+def test_marks_belong_to_their_word(spark):
+    text = "\u0939\u093f\u0928\u094d\u0926\u0940 cafe\u0301 don't snake_case"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, title string")
+    found = index.build_token_postings(docs, index.IndexConfig(text_fields=("title",)))
+    assert {r.term for r in found.collect()} == {
+        "\u0939\u093f\u0928\u094d\u0926\u0940", "cafe\u0301", "don", "t", "snake", "case"}
+
+
 @pytest.mark.parametrize("gap, graphs", [(0, [4]), (10, [24])])
 def test_values_of_a_field_follow_each_other(spark, docs, gap, graphs):
     config = index.IndexConfig(list_fields=("ieee_keys",), position_gap=gap)
@@ -81,6 +89,23 @@ def test_presets_choose_columns():
     assert "title" in index.KEYS.stored_fields and "title" in index.TOPICS.stored_fields
 
 
+def test_presets_leave_no_column_out(spark):
+    docs = spark.createDataFrame(
+        [(1, "t", "note", 3, ["k"], ["x"])],
+        "doc_id long, title string, remark string, n int, ieee_keys array<string>, tags array<string>")
+    general, keys = index.GENERAL.within(docs), index.KEYS.within(docs)
+    assert set(general.searched) == {"title", "remark", "ieee_keys", "tags"}
+    assert general.stored_fields == ("n",)
+    assert set(keys.searched) == {"ieee_keys"} and set(keys.stored_fields) == {"title", "remark", "n", "tags"}
+    for preset in index.PRESETS.values():
+        assert set(build_index(docs, preset).docs.columns) == set(docs.columns)
+
+
+def test_documents_that_share_an_id_are_refused(spark, docs, tmp_path):
+    with pytest.raises(ValueError):
+        write_index(build_index(docs.unionByName(docs), CONFIG), str(tmp_path / "twice"))
+
+
 def test_written_index_reads_back(spark, docs, rows, tmp_path):
     path = str(tmp_path / "index")
     built = build_index(docs, CONFIG)

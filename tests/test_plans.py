@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import golden
-from litsearch.operators import index, joins, search
+from litsearch.operators import facets, index, joins, pages, search, topics
 from litsearch.plans import standins as S
+from litsearch.sources import scratch
 from litsearch.sources.index_store import build_index, read_index, write_index
 from test_queries import SF, pytestmark  # noqa: F401
 
@@ -36,6 +37,8 @@ def test_search_opens_only_the_buckets_it_needs(spark, tmp_path, capsys):
     text = _plan(hits, capsys)
     physical = text[text.index("Physical Plan"):]
     assert "dynamicpruning" in physical
+    # and in them only the terms it is asked for
+    assert "term,the" in physical.replace(" ", "") or "EqualTo(term,the)" in physical
     scans = [line for line in physical.splitlines() if "FileScan" in line and "doc_len" in line]
     assert scans and all("positions" not in line.split("ReadSchema")[1] for line in scans)
     # only the few words asked for are shuffled, never postings
@@ -80,6 +83,62 @@ def test_size_is_measured_in_rows_and_bytes(spark):
     assert not joins.fits_broadcast(table, max_bytes=4000)
 
 
+def test_result_pages_read_only_their_documents(spark, tmp_path, capsys):
+    docs = S.table(spark, SF, "documents").select("doc_id", "text")
+    path = str(tmp_path / "index")
+    write_index(build_index(docs, index.IndexConfig(text_fields=("text",))), path, buckets=4)
+    found = read_index(spark, path)
+    hits = spark.createDataFrame([("q", 3), ("q", 5)], "query_id string, doc_id long")
+    physical = _plan(facets.show_documents(hits, found.docs, ("text",)), capsys)
+    scan = next(line for line in physical.splitlines() if "FileScan" in line and "PushedFilters" in line)
+    assert "In(doc_id" in scan
+
+
+def test_phrases_move_positions_only_of_documents_with_all_words(spark, tmp_path, capsys):
+    docs = S.table(spark, SF, "documents").select("doc_id", "text")
+    path = str(tmp_path / "index")
+    write_index(build_index(docs, index.IndexConfig(text_fields=("text",))), path, buckets=4)
+    found = read_index(spark, path)
+    clauses = S.clause_table(spark, [("q", 0, "text", "phrase", "of the and", "must")])
+    weighted = search.weigh_words(found, search.clause_words(clauses), True)
+    physical = _plan(search.phrase_search(found, weighted, True), capsys)
+    physical = physical[physical.index("Physical Plan"):]
+    assert physical.index("LeftSemi") > physical.index("collect_list")
+
+
+def test_page_text_is_never_shuffled(spark, capsys):
+    keys = spark.createDataFrame([("the",), ("and",)], "key string")
+    matched = topics.match_wiki_pages(S.wiki(spark, SF), keys, small=False)
+    physical = _plan(topics.topic_dictionary(matched), capsys)
+    physical = physical[physical.index("Physical Plan"):]
+    # the dump was read when the pages' answers were stored
+    assert "revision" not in physical and "text" not in physical.replace("texts", "")
+    small = _plan(topics.topic_dictionary(topics.match_wiki_pages(S.wiki(spark, SF), keys, small=True)), capsys)
+    lines = [line for line in small[small.index("Physical Plan"):].splitlines() if "Exchange hash" in line]
+    assert lines and all("text" not in line for line in lines)
+
+
+def test_history_of_links_is_not_shuffled(spark, capsys):
+    visited = spark.range(1000).select(F.concat(F.lit("u"), "id").alias("url"))
+    links = spark.createDataFrame([(1, "u1"), (2, "new"), (1, "new")], "page_id long, url string")
+    small = pages.frontier(links, visited)
+    physical = _plan(small, capsys)
+    physical = physical[physical.index("Physical Plan"):]
+    assert "LeftSemi, BuildRight" in physical and "SortMergeJoin" not in physical
+    want = [("new", 1)]
+    for small in (True, False):
+        assert [tuple(r) for r in pages.frontier(links, visited, small=small).select("url", "page_id").collect()] == want
+
+
+def test_ranking_all_hits_sorts_no_query_in_one_task(spark, capsys):
+    matches = spark.range(100).select(F.lit("q").alias("query_id"), F.col("id").alias("doc_id"),
+                                      F.rand(1).alias("score"))
+    physical = _plan(search.rank_bm25(matches), capsys)
+    physical = physical[physical.index("Physical Plan"):]
+    numbered = [line for line in physical.splitlines() if "row_number()" in line and "Window " in line]
+    assert numbered and all("_range" in line for line in numbered)
+
+
 def test_all_hits_of_one_query_are_ranked_in_slices(spark, capsys):
     clauses = S.clause_table(spark, golden.SAMPLE_CLAUSES)
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, title string")
@@ -88,3 +147,12 @@ def test_all_hits_of_one_query_are_ranked_in_slices(spark, capsys):
     physical = text[text.index("Physical Plan"):]
     windows = [line for line in physical.splitlines() if "row_number()" in line and "Window " in line]
     assert any("slice" in line for line in windows)
+
+
+def test_scratch_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    # in a session folder of its own, as other tests still read theirs
+    monkeypatch.setattr(scratch, "_session_folder", lambda _: f"{tmp_path}/session")
+    assert scratch.materialise(spark.range(3), "three").count() == 3
+    assert list(tmp_path.glob("session/*/three"))
+    scratch.drop_scratch(spark)
+    assert not list(tmp_path.glob("session/*"))

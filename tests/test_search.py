@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from litsearch.functions import bm25
 from litsearch.operators import facets, index, search
-from litsearch.plans.answers import compare_clauses, compare_topics
+from litsearch.plans.answers import compare_clauses, compare_topics, documents_by_clause
 from litsearch.plans.standins import clause_table
 from litsearch.sources.index_store import build_index, read_index, write_index
 
@@ -159,6 +159,39 @@ def test_ranking_in_slices_equals_plain_ranking(spark):
     assert search.rank_bm25(matches, None).count() == 5000
 
 
+@pytest.mark.parametrize("n", [5000, 30])
+def test_every_match_has_a_rank(spark, n):
+    matches = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "q1").otherwise("q2").alias("query_id"),
+        F.col("id").alias("doc_id"), (F.col("id") % 97 / 7).alias("score"))
+    ranked = search.rank_bm25(matches).collect()
+    for query, keep in (("q1", lambda i: i % 3 == 0), ("q2", lambda i: i % 3 != 0)):
+        want = sorted((i for i in range(n) if keep(i)), key=lambda i: (-(i % 97), i))
+        got = sorted((r.rank, r.doc_id) for r in ranked if r.query_id == query)
+        assert got == list(enumerate(want, 1))
+
+
+def test_counts_are_over_all_hits(spark):
+    """More hits than any page shows: counts and lists hold them all."""
+    docs = spark.range(2600).select(
+        F.col("id").alias("doc_id"), F.lit("same words").alias("title"),
+        F.when(F.col("id") % 2 == 0, F.array(F.lit("wire"))).otherwise(F.array(F.lit("wire"), F.lit("other")))
+        .alias("combined_topics"))
+    found = build_index(docs, index.GENERAL)
+    clauses = clause_table(spark, [
+        ("q", 0, "combined_topics", "any_word", "wire", "should"),
+        ("q", 1, "combined_topics", "any_word", "other", "should")])
+    answer = compare_topics(found, clauses)
+    assert {r.topic: r.n_docs for r in answer.counts.collect()} == {"wire": 2600, "other": 1300}
+    assert answer.by_topic.count() == 2600
+    hits, counts = compare_clauses(found, clauses)
+    assert hits.count() == 2600 and {r.n_docs for r in counts.collect()} == {2600, 1300}
+    shown = documents_by_clause(found, clauses)
+    assert shown.filter("clause_id = 1").count() == 1300
+    ranks = [r.rank for r in facets.results_by_score(hits, found.docs, ("title",)).collect()]
+    assert ranks == list(range(1, 2601))
+
+
 def test_bm25_against_plain_arithmetic(spark):
     import math
     row = spark.range(1).select(
