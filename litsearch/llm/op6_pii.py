@@ -42,7 +42,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 DIGIT = re.compile(r"[0-9]")
 
-SAMPLE, SAMPLE_TEXTS = 1500, 20_000
+SAMPLE, SAMPLE_TEXTS = 500, 20_000
 MOST_TOKENS, REGION, AROUND, MARGIN = 16, 400, 40, 3.0
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[^A-Za-z0-9\s]")
 TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
@@ -307,7 +307,7 @@ def fit(examples: list[tuple[str, list[tuple[int, int, str]]]], rounds: int = 5,
     return weights
 
 
-def written_examples(n: int = 60, seed: int = 6) -> list[tuple[str, list[tuple[int, int, str]]]]:
+def written_examples(n: int = 25, seed: int = 6) -> list[tuple[str, list[tuple[int, int, str]]]]:
     """Forms of each kind in which the rules do not know them, and things that look alike."""
     rng = random.Random(seed)
 
