@@ -36,7 +36,7 @@ STEP = 16  # words from one passage to the next; a passage is two steps long
 ITEMS_AT_ONCE, POWER, EXTRA, SEED = 256, 2, 8, 11
 COMMON, COSINE, ALONG = 0.02, 0.4, 0.25
 VERBATIM, REWORDED, ANSWERED = 0.75, 0.5, 0.8
-CHARS_AT_ONCE = 1_000_000
+CHARS_AT_ONCE, TERMS_AT_ONCE = 1_000_000, 64
 LEAKS = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
 ANSWER = re.compile(r".*(?:\?|\banswer\s*:)", re.S | re.I)
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -136,6 +136,12 @@ def passage_counts(docs: DataFrame, items: Items, text_col: str) -> tuple[np.nda
     return out[1:], int(out[0])
 
 
+def add_up(blocks: pa.Table) -> pa.Table:
+    """Sum of the blocks of one place."""
+    total = sum(np.frombuffer(rows) for rows in blocks["rows"].to_pylist())
+    return pa.table({"first": blocks["first"][:1], "rows": pa.array([total.tobytes()], pa.binary())})
+
+
 def latent_space(benchmark: DataFrame, items: Items, weight: np.ndarray) -> np.ndarray:
     """Orthonormal terms x dimensions by randomised SVD; products with the matrix are Spark jobs."""
     size = min(len(items.ids), len(items.terms))
@@ -152,16 +158,17 @@ def latent_space(benchmark: DataFrame, items: Items, weight: np.ndarray) -> np.n
                 for words in part.words:
                     row = np.bincount(items.lookup(words), minlength=len(items.terms)) * weight
                     out += np.outer(row, row @ basis)
-            at = np.flatnonzero(out.any(axis=1))
+            first = list(range(0, len(out), TERMS_AT_ONCE))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int32()), pa.array(out[at].tolist(), pa.list_(pa.float64()))],
-                names=["term", "value"])
-
-        summed = (benchmark.select("text").mapInArrow(product, "term int, value array<double>")
-                  .select("term", F.posexplode("value").alias("dimension", "x"))
-                  .groupBy("term", "dimension").agg(F.sum("x").alias("x")).toPandas())
-        basis = np.zeros_like(basis)
-        basis[summed["term"], summed["dimension"]] = summed["x"]
+                [pa.array(first, pa.int32()),
+                 pa.array([out[a:a + TERMS_AT_ONCE].tobytes() for a in first], pa.binary())],
+                names=["first", "rows"])
+
+        # terms x dimensions in blocks of rows: at most ITEMS_AT_ONCE items hold them
+        summed = (benchmark.select("text").mapInArrow(product, "first int, rows binary")
+                  .groupBy("first").applyInArrow(add_up, "first int, rows binary").collect())
+        basis = np.concatenate([np.frombuffer(r.rows).reshape(-1, basis.shape[1])
+                                for r in sorted(summed, key=lambda r: r.first)])
     left, _, _ = np.linalg.svd(basis, full_matrices=False)
     return left[:, :size]
 
