@@ -3,7 +3,7 @@ import pytest
 
 from litsearch.operators.pages import extract_papers
 from litsearch.streaming.incremental import (
-    add_new_links, extract_incremental, refresh_frontier_stream, visited_table,
+    add_new_links, compact_visited, extract_incremental, refresh_frontier_stream, visited_table,
 )
 
 
@@ -53,3 +53,12 @@ def test_links_are_emitted_once(spark, tmp_path, rows):
     again = spark.createDataFrame([(2, '<a href="/document/2"> <a href="/document/3">')], schema)
     add_new_links(again, 1, visited, base="")
     assert rows(visited_table(spark, visited), "url", "page_id") == want
+    # what was emitted seeds the next stream, which emits none of it again
+    seed = compact_visited(spark, visited, str(tmp_path / "compact"))
+    assert rows(seed, "url", "page_id") == want
+    stream = spark.readStream.schema(schema).parquet(source)
+    following = str(tmp_path / "following")
+    spark.createDataFrame([(3, '<a href="/document/3"> <a href="/document/4">')], schema).write.mode(
+        "append").parquet(source)
+    refresh_frontier_stream(stream, following, str(tmp_path / "state2"), base="", seed=seed)
+    assert rows(visited_table(spark, following), "url", "page_id") == [("/document/4", 3)]
