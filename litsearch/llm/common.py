@@ -84,9 +84,12 @@ def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
         return np.zeros(0, np.uint64)
     length = end - begin
     first = np.cumsum(length) - length
-    inside = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
-    power = powers(int(length.max()))
-    return mix(np.add.reduceat(_MIX[data[np.repeat(begin, length) + inside]] * power[inside], first))
+    inside = np.arange(first[-1] + length[-1], dtype=np.int32) - np.repeat(first.astype(np.int32), length)
+    at = np.repeat(begin.astype(np.int32), length)
+    at += inside
+    values = _MIX[data[at]]
+    values *= powers(int(length.max()))[inside]
+    return mix(np.add.reduceat(values, first))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
