@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from litsearch.llm.common import joined_bytes, mix, run_starts, table, texts, word_hashes, word_spans
 from litsearch.llm.op7_byte_bpe import groups
+from litsearch.sources.scratch import materialise
 
 WINDOW = 20
 BLOCK = WINDOW // 2
@@ -296,9 +297,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("n")).first()["n"]
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     packed = compress(docs, id_col, text_col)
-    hits = exchange(packed.mapInArrow(ask_blocks(buckets), ASKED), hit_blocks, False)
+    # written first: a part has a random number, which a task that is run again would draw anew
+    asked = materialise(packed.mapInArrow(ask_blocks(buckets), ASKED), "asked_blocks")
+    hits = materialise(exchange(asked, hit_blocks, False), "hits")
     hit = packed.join(hits, ["doc_id", "digest"], "left")
-    again = exchange(hit.mapInArrow(ask_windows(buckets), ASKED), repeats, True)
+    asked = materialise(hit.mapInArrow(ask_windows(buckets), ASKED), "asked_windows")
+    again = exchange(asked, repeats, True)
     marked = hit.join(again.withColumnRenamed("bits", "again"), ["doc_id", "digest"], "left")
     kept = marked.mapInArrow(cut_out(buckets), "doc_id long, n_words long, n_removed long, kept string")
     return kept.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))

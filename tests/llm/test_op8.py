@@ -57,6 +57,22 @@ def test_repeats(spark, monkeypatch, seed):
     assert sum(r[2] for r in got) > 100
 
 
+def test_parts_survive_a_rerun(spark, monkeypatch):
+    """What is shuffled has the same parts each time it is read, as after the loss of an executor."""
+    exchange, read = op8.exchange, []
+
+    def twice(asked, *rest):
+        for _ in range(2):
+            read.append(sorted((r.part, r.bucket) for r in asked.select("part", "bucket").collect()))
+        return exchange(asked, *rest)
+
+    monkeypatch.setattr(op8, "exchange", twice)
+    rows = texts(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in op8.remove_repeats(docs).collect()), key=repr) == plain(rows)
+    assert len(read) == 4 and read[0] == read[1] and read[2] == read[3]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert op8.remove_repeats(docs).count() == 0
