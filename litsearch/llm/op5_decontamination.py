@@ -1,8 +1,9 @@
 """Benchmark passages in documents, also reworded ones, by latent semantic retrieval.
 
 Passages are 32 words, one begun at each 16th word of a document. Terms are weighted by tf-idf, the
-passage frequencies being counted over all documents; terms in more than ``COMMON`` of all
-passages weigh nothing. A randomised singular value decomposition of the benchmark's
+passage frequencies being counted over all documents, the idf between 1 (in all passages) and
+``MOST_IDF``: as an item's words are common where its copies are, none may outweigh the others
+by far. A randomised singular value decomposition of the benchmark's
 passages, its products summed up over the tasks, gives the latent space: at most
 ``ITEMS_AT_ONCE`` items are searched at a time and the space has a dimension for each, so
 none is lost. Every passage of every document is folded in and its cosine with every item
@@ -16,8 +17,7 @@ A document leaks an item if the common subsequence is at least ``VERBATIM``, or
 ``REWORDED`` with at least ``ANSWERED`` of the answer.
 
 Defined cases: a text that is null or has no words leaks nothing, and an item without words is
-never leaked; items of one text are items of their own. An item whose words are all common is
-searched by its common words. Repeated rows are marked one by one. All columns of the documents are kept
+never leaked; items of one text are items of their own. Repeated rows are marked one by one. All columns of the documents are kept
 but one named like the added one.
 """
 
@@ -34,7 +34,7 @@ from litsearch.llm.op7_byte_bpe import groups
 
 STEP = 16  # words from one passage to the next; a passage is two steps long
 ITEMS_AT_ONCE, POWER, EXTRA, SEED = 256, 2, 8, 11
-COMMON, COSINE, ALONG = 0.02, 0.4, 0.25
+MOST_IDF, COSINE, ALONG = 4.0, 0.4, 0.25
 VERBATIM, REWORDED, ANSWERED = 0.75, 0.5, 0.8
 CHARS_AT_ONCE, TERMS_AT_ONCE = 1_000_000, 64
 LEAKS = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
@@ -220,13 +220,7 @@ def find_leaks(values: list[str], items: Items, terms: np.ndarray, latent: np.nd
 def search(docs: DataFrame, benchmark: DataFrame, items: Items, text_col: str, column: str) -> DataFrame:
     """``docs`` with the leaks of these items added to those in ``column``."""
     seen, total = passage_counts(docs, items, text_col)
-    idf = np.log((total + 1) / (seen + 1)) + 1
-    weight = np.where(seen > COMMON * total, 0.0, idf)
-    kept = items.matrix(weight)
-    common_only = np.flatnonzero(~kept.any(axis=1))
-    for i in common_only.tolist():  # nothing else to search them by
-        words = items.lookup(items.words[i])
-        weight[words] = idf[words]
+    weight = np.minimum(np.log((total + 1) / (seen + 1)) + 1, MOST_IDF)
     space = latent_space(benchmark, items, weight)
     terms = (weight[:, None] * space).astype(np.float32)
     latent = items.matrix(weight) @ space

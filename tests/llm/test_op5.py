@@ -42,6 +42,31 @@ def test_leaks(spark, monkeypatch):
     assert all(m.leaks == [] for m in op5.mark_leaks(table, bench.limit(0)).collect())
 
 
+def reworded(text, share, r, double=False):
+    """That share of the words replaced in place; ``double``: and a filler after each word."""
+    words = text.split()
+    for i in r.sample(range(len(words)), round(share * len(words))):
+        words[i] = r.choice(RARE)
+    return " ".join(f"{w} {r.choice(RARE)}" if double else w for w in words)
+
+
+def found(spark, docs, items):
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    marked = op5.mark_leaks(table, spark.createDataFrame(items, "item_id long, text string"))
+    return {(m.doc_id, x.item_id) for m in marked.collect() for x in m.leaks}
+
+
+@pytest.mark.parametrize("others, copies", [(200, 100), (10, 1), (9, 3)])
+def test_altered_item_in_many_documents(spark, others, copies):
+    """Words that are common because of the copies still find them; so do those of a small table."""
+    r = random.Random(2)
+    item = prose(30, r)
+    altered = [reworded(item, share, r) for share in (0.1, 0.2)]
+    docs = [(i, prose(40, r)) for i in range(others)]
+    docs += [(1000 + i, f"{prose(20, r)} {altered[i % 2]} {prose(20, r)}") for i in range(copies)]
+    assert found(spark, docs, [(0, item), (1, prose(30, r))]) == {(1000 + i, 0) for i in range(copies)}
+
+
 def test_common_subsequence():
     g = np.random.default_rng(1)
     for _ in range(30):
