@@ -3,14 +3,14 @@
 Passages are 32 words, one begun at each 16th word of a document. Terms are weighted by tf-idf, the
 passage frequencies being counted over all documents, the idf between 1 (in all passages) and
 ``MOST_IDF``: as an item's words are common where its copies are, none may outweigh the others
-by far. A randomised singular value decomposition of the benchmark's
-passages, its products summed up over the tasks, gives the latent space: at most
+by far. Items are cut evenly into pieces of at most ``PIECE`` words, which a passage can cover
+in good part; the pieces are what is searched. A randomised singular value decomposition of the benchmark's
+pieces, its products summed up over the tasks, gives the latent space: pieces of at most
 ``ITEMS_AT_ONCE`` items are searched at a time and the space has a dimension for each, so
-none is lost. Every passage of every document is folded in and its cosine with every item
-taken, item matrix against passages of a task (a stated query set against all rows, in
-blocks). If that is at least ``COSINE`` and the passage's part along the item at least
-``ALONG`` of the item's length, the item's words are compared with the words around the
-passage: the longest common subsequence, as a share of the item, and that of the item's answer (what
+none is lost. Every passage of every document is folded in and its cosine with every piece
+taken, piece matrix against passages of a task (a stated query set against all rows, in
+blocks). If that is at least ``COSINE``, the words of the piece's item are compared with those around
+the passage: the longest common subsequence, as a share of the item, and that of the item's answer (what
 follows the last question mark or "answer:", else its last sentence).
 
 A document leaks an item if the common subsequence is at least ``VERBATIM``, or at least
@@ -34,7 +34,7 @@ from litsearch.llm.op7_byte_bpe import groups
 
 STEP = 16  # words from one passage to the next; a passage is two steps long
 ITEMS_AT_ONCE, POWER, EXTRA, SEED = 256, 2, 8, 11
-MOST_IDF, COSINE, ALONG = 4.0, 0.4, 0.25
+PIECE, MOST_IDF, COSINE = 48, 4.0, 0.4
 VERBATIM, REWORDED, ANSWERED = 0.75, 0.5, 0.8
 CHARS_AT_ONCE, TERMS_AT_ONCE = 1_000_000, 64
 LEAKS = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
@@ -67,6 +67,9 @@ class Items:
         words, first = hashed_words([answer_of(t) for _, t in rows])
         self.answers = [words[a:b] for a, b in zip(first[:-1], first[1:])]
         self.terms = np.unique(np.concatenate([*self.words, np.zeros(0, np.uint64)]))
+        cut = [np.array_split(words, max(1, -(-len(words) // PIECE))) for words in self.words]
+        self.pieces = [piece for pieces in cut for piece in pieces]
+        self.item = np.repeat(np.arange(len(cut)), [len(pieces) for pieces in cut])  # of each piece
 
     def lookup(self, words: np.ndarray) -> np.ndarray:
         """Number of each word in the vocabulary, -1 if it is not there."""
@@ -76,8 +79,8 @@ class Items:
         return np.where(self.terms[at] == words, at, -1)
 
     def matrix(self, weight: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(self.words), len(self.terms)))
-        for row, words in zip(out, self.words):
+        out = np.zeros((len(self.pieces), len(self.terms)))
+        for row, words in zip(out, self.pieces):
             np.add.at(row, self.lookup(words), 1)
         return out * weight
 
@@ -144,7 +147,7 @@ def add_up(blocks: pa.Table) -> pa.Table:
 
 def latent_space(benchmark: DataFrame, items: Items, weight: np.ndarray) -> np.ndarray:
     """Orthonormal terms x dimensions by randomised SVD; products with the matrix are Spark jobs."""
-    size = min(len(items.ids), len(items.terms))
+    size = min(len(items.pieces), len(items.terms))
     if not size:
         return np.zeros((len(items.terms), 0))
     basis = np.random.default_rng(SEED).standard_normal((len(items.terms), min(len(items.terms), size + EXTRA)))
@@ -155,7 +158,7 @@ def latent_space(benchmark: DataFrame, items: Items, weight: np.ndarray) -> np.n
             out = np.zeros_like(basis)
             for batch in batches:
                 part = Items([(0, t) for t in strings(batch.column("text"))])
-                for words in part.words:
+                for words in part.pieces:
                     row = np.bincount(items.lookup(words), minlength=len(items.terms)) * weight
                     out += np.outer(row, row @ basis)
             first = list(range(0, len(out), TERMS_AT_ONCE))
@@ -173,46 +176,64 @@ def latent_space(benchmark: DataFrame, items: Items, weight: np.ndarray) -> np.n
     return left[:, :size]
 
 
+def places_of(words: np.ndarray) -> dict[int, int]:
+    """A bit for each place of each word."""
+    places: dict[int, int] = {}
+    for i, x in enumerate(words.tolist()):
+        places[x] = places.get(x, 0) | 1 << i
+    return places
+
+
+def common_with(places: dict[int, int], n: int, b: list[int]) -> int:
+    whole = rest = (1 << n) - 1
+    for x in b:
+        if x in places:
+            taken = rest & places[x]
+            rest = (rest + taken | rest - taken) & whole
+    return n - rest.bit_count()
+
+
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence."""
-    best = np.zeros(len(b) + 1, np.int64)
-    for x in a:
-        best[1:] = np.maximum(best[1:], best[:-1] + (b == x))
-        np.maximum.accumulate(best, out=best)
-    return int(best[-1])
+    return common_with(places_of(a), len(a), b.tolist())
 
 
 def find_leaks(values: list[str], items: Items, terms: np.ndarray, latent: np.ndarray) -> list[dict[int, dict]]:
     """Of each text: the items it leaks. ``terms``: weighted rows of the latent space;
-    ``latent``: the items in it."""
+    ``latent``: the pieces in it."""
     out: list[dict[int, dict]] = [{} for _ in values]
     words, first = hashed_words(values)
     step, start, text = steps_of(first)
     term = items.lookup(words)
-    useful = terms.any(axis=1)
-    at = np.flatnonzero((term >= 0) & useful[term]) if len(useful) else np.zeros(0, np.int64)
+    at = np.flatnonzero(term >= 0)
     if not len(at):
         return out
     passages, folded = passage_sums(step[at], start, text[at], terms[term[at]])
     size = np.linalg.norm(latent, axis=1)
     unit = latent / np.where(size > 0, size, 1)[:, None]
-    along = folded @ unit.T
-    cosine = along / np.maximum(np.linalg.norm(folded, axis=1), 1e-9)[:, None]
+    cosine = folded @ unit.T / np.maximum(np.linalg.norm(folded, axis=1), 1e-9)[:, None]
     owner = np.searchsorted(start, passages, "right") - 1
-    near = (cosine >= COSINE) & (along >= ALONG * size) & (size > 0)
-    for p, i in sorted(zip(*(x.tolist() for x in np.nonzero(near))), key=lambda x: -cosine[x[0], x[1]]):
+    near = (cosine >= COSINE) & (size > 0)
+    compared, listed, places = set(), words.tolist(), {}
+    for p, k in sorted(zip(*(x.tolist() for x in np.nonzero(near))), key=lambda x: -cosine[x[0], x[1]]):
+        i = int(items.item[k])
         doc, item = int(owner[p]), items.words[i]
-        if i in out[doc] and out[doc][i]["lcs"] == 1:
+        if (p, i) in compared or (i in out[doc] and out[doc][i]["lcs"] == 1):
             continue
+        compared.add((p, i))
         place = int(first[doc] + (passages[p] - start[doc]) * STEP)
-        around = words[max(first[doc], place - len(item)):min(first[doc + 1], place + 2 * STEP + len(item))]
-        share = common_subsequence(item, around) / len(item)
+        around = listed[max(first[doc], place - len(item)):min(first[doc + 1], place + 2 * STEP + len(item))]
+        if i not in places:
+            places[i] = places_of(item)
+        share = common_with(places[i], len(item), around) / len(item)
+        if share < REWORDED:
+            continue
         answer = items.answers[i]
-        found = common_subsequence(answer, around) / len(answer) if len(answer) else 0.0
-        if share >= VERBATIM or (share >= REWORDED and found >= ANSWERED):
+        found = common_with(places_of(answer), len(answer), around) / len(answer) if len(answer) else 0.0
+        if share >= VERBATIM or found >= ANSWERED:
             had = out[doc].get(i)
             if had is None or had["lcs"] < share:
-                out[doc][i] = {"item_id": items.ids[i], "cosine": round(float(cosine[p, i]), 6),
+                out[doc][i] = {"item_id": items.ids[i], "cosine": round(float(cosine[p, k]), 6),
                                "lcs": share, "answer": found}
     return out
 

@@ -67,6 +67,20 @@ def test_altered_item_in_many_documents(spark, others, copies):
     assert found(spark, docs, [(0, item), (1, prose(30, r))]) == {(1000 + i, 0) for i in range(copies)}
 
 
+def test_items_of_any_length(spark):
+    """Verbatim, and with less than half of the words replaced and the answer kept."""
+    r = random.Random(3)
+    sizes = (20, 32, 50, 64, 100, 128, 200, 300, 500)
+    items = [(n, f"{prose(n - 8, r)}? {prose(8, r)}.") for n in sizes]
+    docs = [(i, prose(r.randrange(50, 300), r)) for i in range(100)]
+    for n, text in items:
+        head, answer = text.split("? ")
+        for kind, planted in enumerate([text, f"{reworded(head, 0.4, r)}? {answer}"]):
+            docs.append((1000 * (kind + 1) + n, f"{prose(77, r)} {planted} {prose(50, r)}"))
+    got = found(spark, docs, items)
+    assert got == {(1000 * (kind + 1) + n, n) for kind in range(2) for n in sizes}
+
+
 def test_common_subsequence():
     g = np.random.default_rng(1)
     for _ in range(30):
