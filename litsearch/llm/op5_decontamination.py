@@ -8,10 +8,11 @@ in good part; the pieces are what is searched. A randomised singular value decom
 pieces, its products summed up over the tasks, gives the latent space: pieces of at most
 ``ITEMS_AT_ONCE`` items are searched at a time and the space has a dimension for each, so
 none is lost. Every passage of every document is folded in and its cosine with every piece
-taken, piece matrix against passages of a task (a stated query set against all rows, in
-blocks). If that is at least ``COSINE``, the words of the piece's item are compared with those around
-the passage: the longest common subsequence, as a share of the item, and that of the item's answer (what
-follows the last question mark or "answer:", else its last sentence).
+taken (a stated query set against all rows, in blocks); the passage's whole length counts, words that no item has
+among it. Where that is at least ``COSINE``, windows of the document around the passage are compared with the piece's
+item, if they have enough words in common with it, in any order, for what follows to be possible: the longest
+common subsequence, as a share of the item, and that of the item's answer (what follows the last question mark or
+"answer:", else its last sentence). A window is twice as long as the item and a quarter more.
 
 A document leaks an item if the common subsequence is at least ``VERBATIM``, or at least
 ``REWORDED`` with at least ``ANSWERED`` of the answer.
@@ -29,14 +30,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from litsearch.llm.common import NOT_ALPHANUMERIC, joined_bytes, lower_ascii, strings, table, word_hashes, word_spans
+from litsearch.llm.common import (NOT_ALPHANUMERIC, joined_bytes, lower_ascii, run_starts, strings, table,
+                                  word_hashes, word_spans)
 from litsearch.llm.op7_byte_bpe import groups
 
 STEP = 16  # words from one passage to the next; a passage is two steps long
 ITEMS_AT_ONCE, POWER, EXTRA, SEED = 256, 2, 8, 11
-PIECE, MOST_IDF, COSINE = 48, 4.0, 0.4
+PIECE, MOST_IDF, COSINE = 48, 4.0, 0.25
 VERBATIM, REWORDED, ANSWERED = 0.75, 0.5, 0.8
-CHARS_AT_ONCE, TERMS_AT_ONCE = 1_000_000, 64
+#: A copy may be as long as so many lengths of its item; windows of it begin at so many places of a length.
+REACH, PER_LENGTH = 2, 4
+#: Products below this are rounding of the decomposition.
+ROUNDING = 1e-6
+CHARS_AT_ONCE, TERMS_AT_ONCE, PAIRS_AT_ONCE, BLOCKS_AT_ONCE = 500_000, 64, 1024, 8
 LEAKS = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
 ANSWER = re.compile(r".*(?:\?|\banswer\s*:)", re.S | re.I)
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -73,10 +79,7 @@ class Items:
 
     def lookup(self, words: np.ndarray) -> np.ndarray:
         """Number of each word in the vocabulary, -1 if it is not there."""
-        if not len(self.terms):
-            return np.full(len(words), -1)
-        at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
-        return np.where(self.terms[at] == words, at, -1)
+        return places_in(self.terms, words)
 
     def matrix(self, weight: np.ndarray) -> np.ndarray:
         out = np.zeros((len(self.pieces), len(self.terms)))
@@ -93,48 +96,59 @@ def steps_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start[text] + (np.arange(first[-1]) - first[text]) // STEP, start, text
 
 
-def passage_sums(step: np.ndarray, start: np.ndarray, text: np.ndarray, rows: np.ndarray):
-    """Passages with at least one of the words, and the sum of their words' rows. ``step`` ascends."""
-    new = np.flatnonzero(np.concatenate(([True], step[1:] != step[:-1])))
-    sums = np.add.reduceat(rows, new, axis=0)
-    at, last = step[new], start[text[new] + 1] - 1
-    # step s is the first half of passage s (unless it is a text's last) and the second of s - 1
-    as_first = (at < last) | (at == start[text[new]])
-    as_second = at > start[text[new]]
-    passages = np.unique(np.concatenate((at[as_first], at[as_second] - 1)))
-    out = np.zeros((len(passages), rows.shape[1]), rows.dtype)
-    out[np.searchsorted(passages, at[as_first])] += sums[as_first]
-    out[np.searchsorted(passages, at[as_second] - 1)] += sums[as_second]
-    return passages, out
+def passage_sums(start: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Passages, by the number of their first step, and the sums of their two steps' rows."""
+    n = np.diff(start)
+    last = np.zeros(len(sums), bool)
+    last[(start[1:] - 1)[n > 0]] = True
+    single = np.zeros(len(sums), bool)
+    single[(start[1:] - 1)[n == 1]] = True
+    out = sums.copy()
+    out[:-1] += np.where(last[:-1].reshape(-1, *[1] * (sums.ndim - 1)), 0, sums[1:])
+    passages = np.flatnonzero(~last | single)
+    return passages, out[passages]
 
 
-def passage_counts(docs: DataFrame, items: Items, text_col: str) -> tuple[np.ndarray, int]:
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All whole numbers of the runs."""
+    return np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
+
+
+def places_in(terms: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Number of each word among sorted terms, -1 if it is not there."""
+    if not len(terms):
+        return np.full(len(words), -1)
+    at = np.minimum(np.searchsorted(terms, words), len(terms) - 1)
+    return np.where(terms[at] == words, at, -1)
+
+
+def passage_counts(docs: DataFrame, terms: np.ndarray, text_col: str) -> tuple[np.ndarray, int]:
     """In how many passages of all documents each term is, and how many passages there are."""
 
     def count(batches):
-        total, seen = 0, np.zeros(len(items.terms), np.int64)
+        total, seen = 0, np.zeros(len(terms), np.int64)
         for batch in batches:
             for group in groups(strings(batch.column("text")), CHARS_AT_ONCE):
                 words, first = hashed_words(group)
                 step, start, text = steps_of(first)
                 n = np.diff(start)
                 total += int(np.maximum(n - 1, np.minimum(n, 1)).sum())
-                term = items.lookup(words)
+                term = places_in(terms, words)
                 at = np.flatnonzero(term >= 0)
                 term, step, text = term[at], step[at], text[at]
                 as_first = (step < start[text + 1] - 1) | (step == start[text])
                 as_second = step > start[text]
-                pair = np.concatenate((step[as_first], step[as_second] - 1)) * len(items.terms)
+                pair = np.concatenate((step[as_first], step[as_second] - 1)) * len(terms)
                 pair = np.unique(pair + np.concatenate((term[as_first], term[as_second])))
-                seen += np.bincount(pair % max(1, len(items.terms)), minlength=len(items.terms))
+                seen += np.bincount(pair % max(1, len(terms)), minlength=len(terms))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(-1, len(seen)), pa.int32()), pa.array(np.append(total, seen), pa.int64())],
             names=["term", "n"])
 
-    # a task sends a row for each term of at most ITEMS_AT_ONCE items
+    # a task sends a row for each term of at most ITEMS_AT_ONCE * BLOCKS_AT_ONCE items
     rows = (docs.select(F.col(text_col).alias("text")).mapInArrow(count, "term int, n long")
             .groupBy("term").agg(F.sum("n").alias("n")).toPandas())
-    out = np.zeros(len(items.terms) + 1, np.int64)
+    out = np.zeros(len(terms) + 1, np.int64)
     out[rows["term"].to_numpy() + 1] = rows["n"]
     return out[1:], int(out[0])
 
@@ -198,61 +212,132 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return common_with(places_of(a), len(a), b.tolist())
 
 
-def find_leaks(values: list[str], items: Items, terms: np.ndarray, latent: np.ndarray) -> list[dict[int, dict]]:
-    """Of each text: the items it leaks. ``terms``: weighted rows of the latent space;
-    ``latent``: the pieces in it."""
-    out: list[dict[int, dict]] = [{} for _ in values]
+class Block:
+    """Items searched together. Of each term the pieces, ``piece[first[t]:first[t + 1]]``, to whose product with a
+    passage, the piece being of unit length, it adds ``score``."""
+
+    def __init__(self, items: Items, weight: np.ndarray, space: np.ndarray):
+        self.items, self.weight = items, weight
+        latent = items.matrix(weight) @ space
+        size = np.linalg.norm(latent, axis=1)
+        unit = latent / np.where(size > 0, size, 1)[:, None]
+        # a piece is in the space whole, so a word adds to it only if it holds the word; the rest is rounding
+        scores = weight[:, None] * space @ unit.T
+        word, self.piece = np.nonzero(np.abs(scores) > ROUNDING)
+        self.score = scores[word, self.piece]
+        self.first = np.searchsorted(word, np.arange(len(weight) + 1))
+        self.held = np.zeros((len(items.words), len(items.terms)), np.uint16)  # words of each item
+        for row, words in zip(self.held, items.words):
+            np.add.at(row, items.lookup(words), 1)
+        self.length = np.array([len(w) for w in items.words])
+
+    def candidates(self, term: np.ndarray, step: np.ndarray, start: np.ndarray, text: np.ndarray):
+        """Passage, item and cosine of all pairs whose cosine may reach ``COSINE``.
+
+        The passage's length is taken as if none of its words were repeated, and is then never more than the true
+        one; so the cosine is never less.
+        """
+        if not len(term):
+            return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+        at, pieces, steps = np.flatnonzero(term >= 0), len(self.items.pieces), int(start[-1])
+        begin, size = self.first[term[at]], np.diff(self.first)[term[at]]
+        entry = ranges(begin, size)
+        sums = np.bincount(np.repeat(step[at] * pieces, size) + self.piece[entry], self.score[entry],
+                           minlength=steps * pieces).reshape(steps, pieces)
+        square = np.full(len(term), MOST_IDF**2)
+        square[at] = self.weight[term[at]] ** 2
+        passages, product = passage_sums(start, sums)
+        norm = np.sqrt(passage_sums(start, np.bincount(step, square, minlength=steps))[1])
+        cosine = product / norm[:, None]
+        p, k = np.nonzero(cosine >= COSINE)
+        cosine, item = cosine[p, k].astype(np.float64), self.items.item[k]
+        order = np.lexsort((-cosine, item, p))  # of an item's pieces the nearest
+        first = order[run_starts(passages[p[order]] * len(self.length) + item[order])]
+        return passages[p[first]], item[first], np.minimum(cosine[first], 1)
+
+    def common_words(self, term: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Words that each item has in common with the words from ``low`` to ``high``, in any order:
+        the longest common subsequence has no more."""
+        known = np.flatnonzero(term >= 0)
+        low, high, word_at = np.searchsorted(known, low), np.searchsorted(known, high), term[known]
+        out = np.zeros(len(item), np.int64)
+        for a in range(0, len(item), PAIRS_AT_ONCE):
+            begin, size, items = low[a:a + PAIRS_AT_ONCE], (high - low)[a:a + PAIRS_AT_ONCE], item[a:a + PAIRS_AT_ONCE]
+            key = np.repeat(np.arange(len(size)) * len(self.items.terms), size) + word_at[ranges(begin, size)]
+            held = self.held.ravel()[key + np.repeat((items - np.arange(len(size))) * len(self.items.terms), size)]
+            key, n = np.unique(key[held > 0], return_counts=True)
+            pair, word = np.divmod(key, max(1, len(self.items.terms)))
+            out[a:a + PAIRS_AT_ONCE] = np.bincount(pair, np.minimum(n, self.held[items[pair], word]), minlength=len(size))
+        return out
+
+
+def text_of_step(start: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    return np.searchsorted(start, steps, "right") - 1
+
+
+def windows(doc: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, cosine: np.ndarray,
+            first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The same in windows, so that words from far apart make no copy: ``REACH`` lengths of the item and a step
+    wide, one begun at each step, ``1 / PER_LENGTH`` of it. A copy of up to ``REACH`` lengths lies whole in one."""
+    step = -(-length[item] // PER_LENGTH)
+    begin = (low - first[doc]) // step
+    n = np.maximum(-(-(high - first[doc] - REACH * length[item]) // step) - begin, 1)
+    row = np.repeat(np.arange(len(doc)), n)
+    at = ranges(begin, n)
+    order = np.lexsort((-cosine[row], at, item[row], doc[row]))
+    row, at = row[order], at[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (doc[row[1:]] != doc[row[:-1]]) | (item[row[1:]] != item[row[:-1]]) | (at[1:] != at[:-1])
+    row, at = row[new], at[new]
+    doc, item = doc[row], item[row]
+    low = first[doc] + at * step[row]
+    return doc, item, low, np.minimum(low + REACH * length[item] + step[row], first[doc + 1]), cosine[row]
+
+
+def find_leaks(values: list[str], blocks: list[Block]) -> list[dict[tuple, dict]]:
+    """Of each text: the items it leaks."""
+    out: list[dict[tuple, dict]] = [{} for _ in values]
     words, first = hashed_words(values)
     step, start, text = steps_of(first)
-    term = items.lookup(words)
-    at = np.flatnonzero(term >= 0)
-    if not len(at):
-        return out
-    passages, folded = passage_sums(step[at], start, text[at], terms[term[at]])
-    size = np.linalg.norm(latent, axis=1)
-    unit = latent / np.where(size > 0, size, 1)[:, None]
-    cosine = folded @ unit.T / np.maximum(np.linalg.norm(folded, axis=1), 1e-9)[:, None]
-    owner = np.searchsorted(start, passages, "right") - 1
-    near = (cosine >= COSINE) & (size > 0)
-    compared, listed, places = set(), words.tolist(), {}
-    for p, k in sorted(zip(*(x.tolist() for x in np.nonzero(near))), key=lambda x: -cosine[x[0], x[1]]):
-        i = int(items.item[k])
-        doc, item = int(owner[p]), items.words[i]
-        if (p, i) in compared or (i in out[doc] and out[doc][i]["lcs"] == 1):
-            continue
-        compared.add((p, i))
-        place = int(first[doc] + (passages[p] - start[doc]) * STEP)
-        around = listed[max(first[doc], place - len(item)):min(first[doc + 1], place + 2 * STEP + len(item))]
-        if i not in places:
-            places[i] = places_of(item)
-        share = common_with(places[i], len(item), around) / len(item)
-        if share < REWORDED:
-            continue
-        answer = items.answers[i]
-        found = common_with(places_of(answer), len(answer), around) / len(answer) if len(answer) else 0.0
-        if share >= VERBATIM or found >= ANSWERED:
-            had = out[doc].get(i)
-            if had is None or had["lcs"] < share:
-                out[doc][i] = {"item_id": items.ids[i], "cosine": round(float(cosine[p, k]), 6),
-                               "lcs": share, "answer": found}
+    for number, block in enumerate(blocks):
+        items = block.items
+        term = items.lookup(words)
+        passage, item, cosine = block.candidates(term, step, start, text)
+        doc = text_of_step(start, passage)
+        place, reach = first[doc] + (passage - start[doc]) * STEP, REACH * block.length[item]
+        low, high = np.maximum(first[doc], place - reach), np.minimum(first[doc + 1], place + 2 * STEP + reach)
+        enough = block.common_words(term, low, high, item) >= REWORDED * block.length[item]
+        doc, item, low, high, cosine = windows(doc[enough], item[enough], low[enough], high[enough], cosine[enough],
+                                               first, block.length)
+        enough = block.common_words(term, low, high, item) >= REWORDED * block.length[item]
+        places: dict[int, dict[int, int]] = {}
+        best = np.argsort(-cosine[enough], kind="stable")
+        for d, i, a, b, near in zip(*(x[enough][best].tolist() for x in (doc, item, low, high, cosine))):
+            had = out[d].get((number, i))
+            if had is not None and had["lcs"] == 1:
+                continue
+            around, n = words[a:b].tolist(), len(items.words[i])
+            if i not in places:
+                places[i] = places_of(items.words[i])
+            share = common_with(places[i], n, around) / n
+            if share < REWORDED or had is not None and had["lcs"] >= share:
+                continue
+            answer = items.answers[i]
+            found = common_with(places_of(answer), len(answer), around) / len(answer) if len(answer) else 0.0
+            if share >= VERBATIM or found >= ANSWERED:
+                out[d][number, i] = {"item_id": items.ids[i], "cosine": round(near, 6), "lcs": share, "answer": found}
     return out
 
 
-def search(docs: DataFrame, benchmark: DataFrame, items: Items, text_col: str, column: str) -> DataFrame:
-    """``docs`` with the leaks of these items added to those in ``column``."""
-    seen, total = passage_counts(docs, items, text_col)
-    weight = np.minimum(np.log((total + 1) / (seen + 1)) + 1, MOST_IDF)
-    space = latent_space(benchmark, items, weight)
-    terms = (weight[:, None] * space).astype(np.float32)
-    latent = items.matrix(weight) @ space
-    latent = latent.astype(np.float32)
+def search(docs: DataFrame, blocks: list[Block], text_col: str, column: str) -> DataFrame:
+    """``docs`` with the leaks of these blocks' items added to those in ``column``."""
     schema = docs.schema
 
     def run(batches):
         for batch in batches:
             found = []
             for group in groups(strings(batch.column(text_col)), CHARS_AT_ONCE):
-                found += find_leaks(group, items, terms, latent)
+                found += find_leaks(group, blocks)
             old = batch.column(column).to_pylist()
             both = pa.array([[*(a or []), *(b[i] for i in sorted(b))] for a, b in zip(old, found)],
                             pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()),
@@ -276,16 +361,26 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     held: list[tuple[int, str]] = []
     for row in named.orderBy("item_id", "text").toLocalIterator():
         held.append((row.item_id, row.text))
-        if len(held) == ITEMS_AT_ONCE:
-            marked = search_block(marked, held, text_col, column)
+        if len(held) == ITEMS_AT_ONCE * BLOCKS_AT_ONCE:
+            marked = search(marked, make_blocks(docs, held, text_col), text_col, column)
             held = []
-    return search_block(marked, held, text_col, column) if held else marked
+    return search(marked, make_blocks(docs, held, text_col), text_col, column) if held else marked
 
 
-def search_block(marked: DataFrame, rows: list[tuple[int, str]], text_col: str, column: str) -> DataFrame:
-    spark = marked.sparkSession
-    block = spark.createDataFrame(pa.table({"text": [t for _, t in rows]}))
-    return search(marked, block, Items(rows), text_col, column)
+def make_blocks(docs: DataFrame, rows: list[tuple[int, str]], text_col: str) -> list[Block]:
+    """The items in blocks, each with its latent space. Terms of all are counted in one pass over the documents
+    as they were given, so no search runs again for it."""
+    items = [Items(rows[a:a + ITEMS_AT_ONCE]) for a in range(0, len(rows), ITEMS_AT_ONCE)]
+    terms = np.unique(np.concatenate([x.terms for x in items]))
+    seen, total = passage_counts(docs, terms, text_col)
+    weight = np.minimum(np.log((total + 1) / (seen + 1)) + 1, MOST_IDF)
+    blocks = []
+    for number, part in enumerate(items):
+        texts = [t for _, t in rows[number * ITEMS_AT_ONCE:(number + 1) * ITEMS_AT_ONCE]]
+        block = docs.sparkSession.createDataFrame(pa.table({"text": texts}))
+        own = weight[places_in(terms, part.terms)]
+        blocks.append(Block(part, own, latent_space(block, part, own)))
+    return blocks
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
