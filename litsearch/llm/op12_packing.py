@@ -14,9 +14,8 @@ follows that of the rows. Rests are short, so a group is bounded however long th
 texts are. Ids are written once, before anything is shuffled, with a number for each row: a
 repeated task gives the same pieces.
 
-Ids are those of the tokenizer's library. Where a vocabulary drops white space, no token spans it: texts
-are cut at ASCII blanks and each different chunk is encoded once by the library and remembered,
-up to a bound. Otherwise texts are encoded whole.
+Ids are those of the tokenizer's library. Where the vocabulary drops white space, no token spans it, and
+each different word is encoded once by the library and remembered, up to a bound; see ``Encoder``.
 
 Defined cases: a null or empty text is the end id alone. Rows that share an id, repeated ones too, are
 documents of their own. A text of any length is cut into as many sequences as it fills. An empty table
@@ -25,45 +24,73 @@ gives no pieces. Columns other than id and text are not read.
 
 import json
 import os
+import re
+import struct
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litsearch.llm.common import table, texts
+from litsearch.llm.common import run_starts, table, texts
+from litsearch.llm.op1_token_counts import byte_symbols
 from litsearch.sources.scratch import materialise
 
 LENGTH, END_ID = 2048, 1
-GROUP, SEED = 4096, 12
-#: Chunks a worker remembers, and the longest it remembers; bounds of memory, not of the result.
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 32
-#: Bytes of text that are encoded before pieces are handed on.
-BYTES_AT_ONCE = 4_000_000
+GROUP, SEED = 1024, 12
+#: Words a worker remembers, and the longest it remembers; bounds of memory, not of the result.
+REMEMBERED, LONGEST_REMEMBERED = 1_000_000, 32
+#: Fixed value: how vocabularies of this kind cut a text; what is between is white space.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for plain characters: those that have one small letter whatever stands beside them, never join
+#: with others, and are letters, digits or signs to every library alike: printable ASCII, Latin and Cyrillic
+#: letters, quotes and dashes.
+PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+OTHER = re.compile("[^!-~\u00a1\u00ab\u00bb\u00bf\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148"
+                   "\u014a-\u017e\u0400-\u045f\u2013\u2014\u2018-\u201e\u2026]")
+#: The printable character for each byte.
+SHOWN = {byte: char for char, byte in byte_symbols().items()}
+#: Bytes of text that are encoded at once, and of ids that are handed on.
+BYTES_AT_ONCE = 12_000_000
 CUT = "row long, doc_id long, doc_tokens long, start long, ids binary"
 PACKED = "doc_id long, start long, ids binary, doc_tokens long, bin long, offset long"
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Words(dict):
-    """Ids of a piece that the vocabulary's merges see as one word, as bytes."""
+    """Ids of a piece that the vocabulary's merges see as one word, as bytes; those asked of late are remembered."""
 
     def __init__(self, model):
-        self.model = model
+        self.model, self.older = model, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            shown = word if word.isascii() else "".join([SHOWN[b] for b in word.encode()])
+            ids = as_bytes([t.id for t in self.model.tokenize(shown)])
         if len(word) <= LONGEST_REMEMBERED:
             self[word] = ids
         return ids
 
+    def trim(self) -> None:
+        """Words that were not asked since the last time go."""
+        if len(self) > REMEMBERED // 2:
+            self.older = dict(self)
+            self.clear()
 
-class Chunks(dict):
-    """Ids of a chunk without blanks, as bytes.
 
-    A chunk of printable ASCII is put in small letters and cut by the vocabulary's own pattern here,
-    and its words handed to the library; others, and those with an added token, go to it as they are.
+class Encoder:
+    """Ids of a text, as the library has them.
+
+    Where the vocabulary drops white space, each different chunk between ASCII blanks is looked at once for many
+    texts. One of plain characters is put in small letters and cut by the vocabulary's pattern here, and its words
+    handed to the library; one that is not plain, or holds an added token, goes to the library as it is.
     """
 
     def __init__(self, path: str):
@@ -75,61 +102,69 @@ class Chunks(dict):
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        pattern = word_pattern(spec)
-        self.whole = pattern is None
-        self.words, self.pattern = Words(self.tokenizer.model), pattern and regex.compile(pattern)
-        added = [regex.escape(t["content"]) for t in spec["added_tokens"]]
-        self.added = regex.compile("|".join(added) or "(?!)")
+        self.by_word = is_plain_vocabulary(spec)
+        self.words = Words(self.tokenizer.model)
+        self.added = [t["content"] for t in spec["added_tokens"]]
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
-        if text.isascii() and text.isprintable() and not self.added.search(text):
-            ids = b"".join(map(self.words.__getitem__, self.pattern.findall(text.lower())))
+    def chunk(self, text: str) -> bytes:
+        """Ids of a text without blanks."""
+        if text.isascii():
+            plain = text.isprintable()
         else:
-            ids = self.encode(text)
-        if len(chunk) <= LONGEST_REMEMBERED:
-            self[chunk] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        if self.whole:
-            return self.encode(text)
-        for known in (self, self.words):
-            if len(known) > REMEMBERED:
-                known.clear()
-        # bytes are split at ASCII blanks only
-        return b"".join(map(self.__getitem__, text.encode().split()))
-
-
-def word_pattern(spec: dict) -> str | None:
-    """The pattern of words, if the vocabulary puts texts in small letters and drops all white space
-    between words, so that no token spans it; else nothing, and texts are encoded whole."""
-    def kinds(step: dict | None, inner: str) -> list[dict]:
+            plain = not OTHER.search(text)
+        if plain:
+            small, words = text.lower(), self.words
+            if small.isalpha():
+                return words[small]
+            if small[:-1].isalpha() and not small[-1].isdigit():  # a word and a sign
+                return words[small[:-1]] + words[small[-1]]
+            if not any(token in text for token in self.added):
+                return b"".join([words[x] for x in PLAIN_WORDS.findall(small)])
+        return self.encode(text)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each text's begin."""
+        if self.by_word:
+            self.words.trim()
+            lists = pc.ascii_split_whitespace(texts)
+            chunks = lists.flatten().dictionary_encode()
+            known = [self.chunk(x) for x in chunks.dictionary.to_pylist()]
+            which, bounds = chunks.indices.to_numpy(), lists.offsets.to_numpy()
+        else:
+            known = [self.encode(x) for x in texts.to_pylist()]
+            which, bounds = np.arange(len(known)), np.arange(len(known) + 1)
+        n = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        begin, length = (np.cumsum(n) - n)[which], n[which]
+        end = np.cumsum(length)
+        at = np.repeat(begin - (end - length), length) + np.arange(end[-1] if len(end) else 0)
+        return np.frombuffer(b"".join(known), "<u4")[at], np.concatenate(([0], end))[bounds - bounds[0]]
+
+
+def is_plain_vocabulary(spec: dict) -> bool:
+    """Does the vocabulary put texts in small letters, cut them by ``WORDS`` and drop the white space between?"""
+    def steps(step: dict | None, inner: str) -> list[dict]:
         return (step or {}).get(inner) or [step or {}]
 
-    before, cuts = kinds(spec.get("normalizer"), "normalizers"), kinds(spec.get("pre_tokenizer"), "pretokenizers")
+    before, cuts = steps(spec.get("normalizer"), "normalizers"), steps(spec.get("pre_tokenizer"), "pretokenizers")
     if [x.get("type") for x in before] != ["NFC", "Replace", "Lowercase"] or [
             x.get("type") for x in cuts] != ["Split", "ByteLevel"]:
-        return None
-    pattern = cuts[0]["pattern"].get("Regex", "")
-    rest = r"[^\s\p{L}\p{N}]+"
-    dropped = cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and not cuts[1].get("add_prefix_space")
+        return False
     beside = any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec["added_tokens"])
-    fits = dropped and not beside and pattern.endswith(rest) and r"\s" not in pattern.removesuffix(rest)
-    return pattern if fits else None
+    return (cuts[0]["pattern"].get("Regex") == WORDS and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
+            and not cuts[1].get("add_prefix_space") and not beside)
 
 
 @lru_cache(maxsize=2)
-def chunks(path: str) -> Chunks:
-    return Chunks(path)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, length: int, end_id: int) -> DataFrame:
     """Pieces of at most ``length`` ids of every document; all but its last are full."""
-    end, width = np.array([end_id], "<u4").tobytes(), 4 * length
+    end, width = as_bytes([end_id]), 4 * length
 
     def record(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows)) or [[]] * 5
@@ -138,19 +173,24 @@ def cut_documents(docs: DataFrame, vocabulary: str, length: int, end_id: int) ->
             names=["row", "doc_id", "doc_tokens", "start", "ids"])
 
     def run(batches):
-        known = chunks(vocabulary)
+        known = encoder(vocabulary)
         for batch in batches:
-            rows, size = [], 0
-            for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(),
-                                      batch.column("text")):
-                ids = known.ids(text.as_py() or "") + end
-                for at in range(0, len(ids), width):
-                    rows.append((row, doc, len(ids) // 4, at // 4, ids[at:at + width]))
-                    size += width
-                    if size >= BYTES_AT_ONCE:
+            texts_of = batch.column("text").fill_null("")
+            size = pc.binary_length(texts_of).to_numpy(zero_copy_only=False).cumsum()
+            first = np.append(run_starts(size // BYTES_AT_ONCE), len(size)).tolist()
+            names = [batch.column(c).to_pylist() for c in ("row", "doc_id")]
+            for a, b in zip(first[:-1], first[1:]):
+                ids, bounds = known.ids(texts_of[a:b])
+                rows, held = [], 0
+                for i in range(a, b):
+                    mine = ids[bounds[i - a]:bounds[i - a + 1]].tobytes() + end
+                    for at in range(0, len(mine), width):
+                        rows.append((names[0][i], names[1][i], len(mine) // 4, at // 4, mine[at:at + width]))
+                    held += len(mine)
+                    if held >= BYTES_AT_ONCE:
                         yield record(rows)
-                        rows, size = [], 0
-            yield record(rows)
+                        rows, held = [], 0
+                yield record(rows)
 
     numbered = texts(docs).withColumn("row", F.monotonically_increasing_id())
     return numbered.select("row", "doc_id", "text").mapInArrow(run, CUT)

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -79,18 +80,33 @@ def test_empty_table(spark):
     assert op12.pack_documents(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
 
 
+def ids(encoder, text):
+    found, bounds = encoder.ids(pa.array(["a", text, "", text]))
+    assert found[bounds[1]:bounds[2]].tolist() == found[bounds[3]:bounds[4]].tolist() and bounds[2] == bounds[3]
+    return found[bounds[1]:bounds[2]].tolist()
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("aB'st <|endoftext|>\n.́Σ")), max_size=60))
 def test_ids_are_the_librarys(text):
-    got = np.frombuffer(op12.chunks(PATH).ids(text), "<u4").tolist()
-    assert got == WHOLE.encode(text, add_special_tokens=False).ids
+    assert ids(op12.encoder(PATH), text) == WHOLE.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_characters():
+    """Each plain character alone, between letters and beside a mark of each kind."""
+    plain = [chr(c) for c in range(0x2030) if not op12.OTHER.search(chr(c))]
+    assert len(plain) > 350
+    known = op12.Encoder(PATH)
+    for c in plain:
+        text = f"{c} a{c}b {c}{c} 1{c} '{c} {c}x. {c}."
+        assert ids(known, text) == WHOLE.encode(text, add_special_tokens=False).ids, c
 
 
 def test_another_vocabulary_is_encoded_whole():
     path = public_tokenizers.path("byte_bpe_50k.json")
     whole = Tokenizer.from_file(path)
     text = "Two  words\n and 3 more "
-    assert op12.Chunks(path).ids(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert ids(op12.Encoder(path), text) == whole.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=200, deadline=None)
