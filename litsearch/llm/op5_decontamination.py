@@ -42,7 +42,7 @@ VERBATIM, REWORDED, ANSWERED = 0.75, 0.5, 0.8
 REACH, PER_LENGTH = 2, 4
 #: Products below this are rounding of the decomposition.
 ROUNDING = 1e-6
-CHARS_AT_ONCE, TERMS_AT_ONCE, PAIRS_AT_ONCE, BLOCKS_AT_ONCE = 500_000, 64, 1024, 8
+CHARS_AT_ONCE, TERMS_AT_ONCE, PAIRS_AT_ONCE, BLOCKS_AT_ONCE = 250_000, 64, 1024, 8
 LEAKS = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
 ANSWER = re.compile(r".*(?:\?|\banswer\s*:)", re.S | re.I)
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -97,16 +97,21 @@ def steps_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def passage_sums(start: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Passages, by the number of their first step, and the sums of their two steps' rows."""
+    """Which rows are passages, and for each row its sum with the next.
+
+    There is a row for each step and an empty one behind each text, so that no sum spans two texts.
+    """
     n = np.diff(start)
-    last = np.zeros(len(sums), bool)
-    last[(start[1:] - 1)[n > 0]] = True
-    single = np.zeros(len(sums), bool)
-    single[(start[1:] - 1)[n == 1]] = True
-    out = sums.copy()
-    out[:-1] += np.where(last[:-1].reshape(-1, *[1] * (sums.ndim - 1)), 0, sums[1:])
-    passages = np.flatnonzero(~last | single)
-    return passages, out[passages]
+    is_passage = np.zeros(len(sums) - 1, bool)
+    is_passage[padded(start, np.arange(start[-1]))] = True
+    ends = (start[1:] - 1 + np.arange(len(n)))[n > 1]
+    is_passage[ends] = False  # a text's last step is the second half of the passage before
+    return is_passage, sums[:-1] + sums[1:]
+
+
+def padded(start: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """Row of a step, with an empty row behind each text."""
+    return steps + text_of_step(start, steps)
 
 
 def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -239,18 +244,18 @@ class Block:
         """
         if not len(term):
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
-        at, pieces, steps = np.flatnonzero(term >= 0), len(self.items.pieces), int(start[-1])
+        at, pieces, rows = np.flatnonzero(term >= 0), len(self.items.pieces), int(start[-1]) + len(start)
         begin, size = self.first[term[at]], np.diff(self.first)[term[at]]
-        entry = ranges(begin, size)
-        sums = np.bincount(np.repeat(step[at] * pieces, size) + self.piece[entry], self.score[entry],
-                           minlength=steps * pieces).reshape(steps, pieces)
+        entry, row = ranges(begin, size), step + text
+        sums = np.bincount(np.repeat(row[at] * pieces, size) + self.piece[entry], self.score[entry],
+                           minlength=rows * pieces).reshape(rows, pieces)
         square = np.full(len(term), MOST_IDF**2)
         square[at] = self.weight[term[at]] ** 2
-        passages, product = passage_sums(start, sums)
-        norm = np.sqrt(passage_sums(start, np.bincount(step, square, minlength=steps))[1])
-        cosine = product / norm[:, None]
-        p, k = np.nonzero(cosine >= COSINE)
-        cosine, item = cosine[p, k].astype(np.float64), self.items.item[k]
+        is_passage, product = passage_sums(start, sums)
+        norm = np.sqrt(passage_sums(start, np.bincount(row, square, minlength=rows))[1])
+        p, k = np.divmod(np.flatnonzero(product >= np.where(is_passage, COSINE * norm, np.inf)[:, None]), max(1, pieces))
+        cosine, passages = product[p, k] / norm[p], np.arange(rows - 1) - text_of_row(start, np.arange(rows - 1))
+        item = self.items.item[k]
         order = np.lexsort((-cosine, item, p))  # of an item's pieces the nearest
         first = order[run_starts(passages[p[order]] * len(self.length) + item[order])]
         return passages[p[first]], item[first], np.minimum(cosine[first], 1)
@@ -275,6 +280,10 @@ def text_of_step(start: np.ndarray, steps: np.ndarray) -> np.ndarray:
     return np.searchsorted(start, steps, "right") - 1
 
 
+def text_of_row(start: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return np.searchsorted(start + np.arange(len(start)), rows, "right") - 1
+
+
 def windows(doc: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, cosine: np.ndarray,
             first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
     """The same in windows, so that words from far apart make no copy: ``REACH`` lengths of the item and a step

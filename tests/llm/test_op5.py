@@ -100,9 +100,10 @@ def test_passages():
     words, first = op5.hashed_words(values)
     step, start, text = op5.steps_of(first)
     some = words % np.uint64(3) == 0
-    sums = np.bincount(step[some], minlength=start[-1])
-    passages, found = op5.passage_sums(start, np.stack([sums, 2 * sums], axis=1))
-    got = dict(zip(passages.tolist(), found.tolist()))
+    sums = np.bincount((step + text)[some], minlength=start[-1] + len(start))
+    is_passage, found = op5.passage_sums(start, np.stack([sums, 2 * sums], axis=1))
+    rows = np.flatnonzero(is_passage)
+    got = dict(zip((rows - op5.text_of_row(start, rows)).tolist(), found[rows].tolist()))
     for i in range(len(values)):
         own = words[first[i]:first[i + 1]]
         n = max(1, start[i + 1] - start[i] - 1) if len(own) else 0
