@@ -6,16 +6,23 @@ from pyspark.sql import functions as F
 from litsearch.schemas import WIKI_PAGES
 
 
+PAGE_END = "</page>"
+PAGE_START = r"<page(?:\s[^>]*)?>"
+
+
 def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
     """One row per ``<page>``; a folder reads all its dumps.
 
-    Only the fields of the schema are parsed. The redirect title is an XML
-    attribute, hence the empty attribute prefix.
+    The end tag of a page separates records, so one dump is cut into as many splits as its size
+    asks for, and a page across two of them is read whole by the first. What lies before a page's begin, as the
+    header of a dump does, and what follows the last page is no page. Texts hold end tags only escaped, as XML asks
+    for. Only the fields of the schema are parsed. The redirect title is an XML attribute,
+    hence the empty attribute prefix. Files that can be split when compressed (bzip2) are split too.
     """
-    return (spark.read.format("xml")
-            .options(rowTag="page", attributePrefix="")
-            .schema(WIKI_PAGES)
-            .load(path))
+    records = spark.read.option("lineSep", PAGE_END).text(path).select(
+        F.regexp_extract("value", f"(?s){PAGE_START}.*", 0).alias("page"))
+    page = F.from_xml(F.concat("page", F.lit(PAGE_END)), WIKI_PAGES, {"rowTag": "page", "attributePrefix": ""})
+    return records.filter(F.length("page") > 0).select(page.alias("page")).select("page.*")
 
 
 def write_wiki_dump(pages: DataFrame, path: str) -> None:

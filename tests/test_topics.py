@@ -10,7 +10,7 @@ from litsearch.sources.documents import (
     read_docs_tsv, require_unique, with_doc_id, with_lists, write_docs_tsv,
 )
 from litsearch.sources.wiki import read_wiki_dump
-from litsearch.schemas import text_schema
+from litsearch.schemas import WIKI_PAGES, text_schema
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +31,58 @@ def docs(spark):
     ], "doc_id long, link string, author_keys array<string>")
 
 
+def _dump(pages: int) -> str:
+    """A dump with header and footer, pages of very different length, redirects, entities, other tags."""
+    out = ['<mediawiki xmlns="http://x/export-0.10/" xml:lang="en">\n  <siteinfo><sitename>W</sitename>'
+           '<pagecount>3</pagecount></siteinfo>\n']
+    for i in range(pages):
+        redirect = f'    <redirect title="Title &amp; {i}" />\n' if i % 4 == 0 else ""
+        text = f"line {i}\n&lt;page&gt; a &lt;/page&gt; [[Category:C{i % 7}]] &quot;\u00e9\u4e2d&quot; " * (1 + i * 37 % 90)
+        tag = "<page>" if i % 3 else '<page lang="x">'
+        out.append(f"  {tag}\n    <title>T{i}</title>\n    <ns>0</ns>\n    <id>{i}</id>\n{redirect}"
+                   f'    <revision>\n      <id>9{i}</id>\n      <text bytes="1" xml:space="preserve">{text}</text>\n'
+                   "    </revision>\n  </page>\n")
+    return "".join(out) + "</mediawiki>\n"
+
+
+def _by_row_tag(spark, path):
+    return (spark.read.format("xml").options(rowTag="page", attributePrefix="").schema(WIKI_PAGES).load(path))
+
+
+def test_one_dump_is_read_by_many_tasks(spark, tmp_path, rows):
+    """Also pages across splits, header and footer, redirects: the same rows as the XML reader has."""
+    path = str(tmp_path / "dump.xml")
+    (tmp_path / "dump.xml").write_text(_dump(300))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("4096", "20000", old):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = read_wiki_dump(spark, path)
+            if size != old:
+                assert found.rdd.getNumPartitions() > 20
+            assert rows(found) == rows(_by_row_tag(spark, path))
+            assert found.count() == 300 and found.schema == WIKI_PAGES
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("text", ["", "<mediawiki></mediawiki>", "<mediawiki><siteinfo>x</siteinfo></mediawiki>",
+                                  "<page><id>1</id></page>", "<pages><page><id>1</id><title>a</title></page></pages>"])
+def test_small_dumps(spark, tmp_path, rows, text):
+    (tmp_path / "dump.xml").write_text(text)
+    found = read_wiki_dump(spark, str(tmp_path))
+    assert [r.id for r in found.collect()] == ([1] if "<page>" in text else [])
+
+
+def test_compressed_dump(spark, tmp_path, rows):
+    import bz2
+    (tmp_path / "plain.xml").write_text(_dump(40))
+    (tmp_path / "packed").mkdir()
+    (tmp_path / "packed" / "dump.xml.bz2").write_bytes(bz2.compress(_dump(40).encode()))
+    assert rows(read_wiki_dump(spark, str(tmp_path / "packed"))) == rows(
+        read_wiki_dump(spark, str(tmp_path / "plain.xml")))
+
+
 def test_dump_reads_redirects_and_empty_text(wiki):
     found = {r.id: r for r in wiki.collect()}
     assert len(found) == 7
