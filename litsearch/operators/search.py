@@ -19,6 +19,7 @@ from litsearch.fixed_values import (
 )
 from litsearch.functions import bm25
 from litsearch.functions.text import words
+from litsearch.operators.expansion import Lookups, fuzzy_candidates, pattern_grams, wildcard_candidates
 from litsearch.operators.joins import (
     asked_rows, even_slice, few_values, fits_broadcast, lookup_join, survey,
 )
@@ -222,12 +223,17 @@ def phrase_search(index: Index, weighted: DataFrame, small: bool | None = None)
 
 # --- patterns -----------------------------------------------------------------
 
-def term_expand(dictionary: DataFrame, clauses: DataFrame,
-                default_field: str = DEFAULT_FIELD, small: bool | None = None) -> DataFrame:
+def term_expand(dictionary: DataFrame, clauses: DataFrame, default_field: str = DEFAULT_FIELD,
+                small: bool | None = None, lookups: Lookups | None = None) -> DataFrame:
     """Dictionary terms that fit prefix, wildcard, fuzzy (two edits) and range clauses.
 
     A range is written ``low to high``, both ends included; in a wildcard ``*``
     stands for any characters and ``?`` for one.
+
+    Patterns that say how their terms begin meet only such terms. With the lookup tables of a written
+    index wildcards meet the terms of their rarest grams and fuzzy words those that share a deletion
+    key; only wildcards without three characters in a row, and ranges over several first letters, still meet all
+    terms of their field.
     """
     value = F.lower("value")
     ends = F.split(value, " to ")
@@ -247,14 +253,23 @@ def term_expand(dictionary: DataFrame, clauses: DataFrame,
              .when((kind == "wildcard") & ~first.isin("*", "?"), first)
              .when((kind == "range") & (F.substring("low", 1, 1) == F.substring("high", 1, 1)),
                    F.substring("low", 1, 1)))
-    patterns = patterns.withColumn("begin", begin)
+    way = F.when(begin.isNotNull(), "begin")
+    if lookups:
+        way = (way.when((kind == "wildcard") & (F.size(pattern_grams(F.col("wanted"))) > 0), "grams")
+               .when(kind == "fuzzy", "deletions"))
+    if small is None:
+        small = fits_broadcast(clauses)
+    patterns = patterns.withColumn("begin", begin).withColumn("way", way.otherwise("all"))
     terms = dictionary.select("field", "term", F.substring("term", 1, 1).alias("begin"))
-    parts = [
-        lookup_join(terms, patterns.filter("begin IS NOT NULL"), ["field", "begin"], spread=("term",),
-                    small=small),
-        lookup_join(terms.drop("begin"), patterns.filter("begin IS NULL").drop("begin"), ["field"],
-                    spread=("term",), small=small),
-    ]
+    ways = {
+        "begin": lambda asked: lookup_join(terms, asked, ["field", "begin"], spread=("term",), small=small),
+        "grams": lambda asked: wildcard_candidates(lookups, asked, small),
+        "deletions": lambda asked: fuzzy_candidates(lookups, asked, small),
+        "all": lambda asked: lookup_join(terms.drop("begin"), asked, ["field"], spread=("term",), small=small),
+    }
+    needed = {r["way"] for r in patterns.select("way").distinct().collect()}  # at most four rows
+    parts = [meet(patterns.filter(F.col("way") == name)) for name, meet in ways.items()
+             if name in needed or name == "begin" and not needed]
     return reduce(DataFrame.unionByName, [
         p.filter(fits).select("query_id", "clause_id", "field", "term") for p in parts])
 
@@ -376,7 +391,7 @@ def _clause_hits(index: Index, clauses: DataFrame, small: bool, asked: set[str],
     if asked & set(PATTERN_KINDS):
         # the terms are needed twice: to measure them and to look them up
         expanded = materialise(
-            term_expand(index.dictionary, clauses, default_field, small), "expanded_terms")
+            term_expand(index.dictionary, clauses, default_field, small, index.lookups), "expanded_terms")
         parts.append(pattern_search(index, expanded))
     return reduce(DataFrame.unionByName, parts)
 

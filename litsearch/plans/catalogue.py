@@ -419,8 +419,8 @@ def q37_any_word(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q38_expand(spark: SparkSession, sf: str) -> DataFrame:
-    return search.term_expand(
-        S.document_index(spark, sf).dictionary, S.clause_table(spark, PATTERN_QUERIES))
+    found = S.document_index(spark, sf)
+    return search.term_expand(found.dictionary, S.clause_table(spark, PATTERN_QUERIES), lookups=found.lookups)
 
 
 def q38_expanded_hits(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litsearch.sources.documents import require_unique
+from litsearch.operators.expansion import Lookups, bucketed, gram_counts, term_deletions, term_grams
 from litsearch.operators.index import (
     IndexConfig, build_key_postings, build_token_postings, doc_store, field_stats, term_dictionary,
 )
@@ -36,6 +37,7 @@ class Index:
     docs: DataFrame
     buckets: int = 0
     config: IndexConfig | None = None
+    lookups: Lookups | None = None
 
 
 def bucket_of(term: Column | str, buckets: int) -> Column:
@@ -71,6 +73,13 @@ def _write_dictionary(dictionary: DataFrame, path: str, buckets: int) -> None:
      .write.mode("errorifexists").partitionBy("bucket").parquet(path))
 
 
+def _write_lookup(table: DataFrame, column: str, path: str, buckets: int) -> None:
+    """A gram in many terms lies in several files, and a file holds few grams."""
+    order = ["bucket", "field", column, *(["term"] if "term" in table.columns else [])]
+    (bucketed(table, column, buckets).repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode("errorifexists").partitionBy("bucket").parquet(path))
+
+
 def write_index(index: Index, path: str, buckets: int | None = None,
                 table_prefix: str | None = None) -> None:
     """Write every table; raises before any work if an index is there already.
@@ -92,9 +101,13 @@ def write_index(index: Index, path: str, buckets: int | None = None,
     _write_postings(index.key_postings, f"{path}/key_postings", buckets)
     for name, source in (("dictionary", "postings"), ("key_dictionary", "key_postings")):
         _write_dictionary(term_dictionary(_open(spark, path, source)), f"{path}/{name}", buckets)
+    dictionary = _open(spark, path, "dictionary")
+    _write_lookup(term_grams(dictionary), "gram", f"{path}/grams", buckets)
+    _write_lookup(gram_counts(_open(spark, path, "grams")), "gram", f"{path}/gram_counts", buckets)
+    _write_lookup(term_deletions(dictionary), "key", f"{path}/deletions", buckets)
     (field_stats(_open(spark, path, "postings"))
      .write.mode("errorifexists").parquet(f"{path}/stats"))
-    (spark.range(1).select(F.lit(buckets).alias("buckets"))
+    (spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(True).alias("lookups"))
      .write.mode("errorifexists").json(f"{path}/meta"))
     if table_prefix:
         stored = read_index(spark, path)
@@ -112,14 +125,20 @@ _SCHEMAS = {
     "key_dictionary": "field string, term string, df bigint, cf bigint, bucket int",
     "stats": "field string, n_docs bigint, avg_len double",
 }
+_LOOKUPS = {
+    "grams": "field string, gram string, term string, bucket int",
+    "gram_counts": "field string, gram string, n bigint, bucket int",
+    "deletions": "field string, key bigint, term string, bucket int",
+}
 
 
 def _open(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.schema(_SCHEMAS[name]).parquet(f"{path}/{name}")
+    return spark.read.schema((_SCHEMAS | _LOOKUPS)[name]).parquet(f"{path}/{name}")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    """Open a written index."""
-    meta = spark.read.schema("buckets int").json(f"{path}/meta").first()
+    """Open a written index. One written before there were lookup tables is searched without them."""
+    meta = spark.read.schema("buckets int, lookups boolean").json(f"{path}/meta").first()
     tables = {name: _open(spark, path, name) for name in _SCHEMAS}
-    return Index(docs=spark.read.parquet(f"{path}/docs"), buckets=meta["buckets"], **tables)
+    lookups = Lookups(*[_open(spark, path, name) for name in _LOOKUPS], meta["buckets"]) if meta["lookups"] else None
+    return Index(docs=spark.read.parquet(f"{path}/docs"), buckets=meta["buckets"], lookups=lookups, **tables)
