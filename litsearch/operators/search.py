@@ -8,6 +8,7 @@ clause_id, doc_id, score)`` with one row per clause and document or more;
 :func:`boolean_search` combines them into documents.
 """
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,9 @@ from litsearch.operators.joins import (
 from litsearch.sources.index_store import Index, bucket_of
 from litsearch.sources.scratch import materialise
 
+#: Documents of the rarest clauses that one search may hold in memory of each task.
+MOST_LIMITING = 100_000
+
 WORD_KINDS = ["term", "phrase", "any_word"]
 PATTERN_KINDS = ["prefix", "wildcard", "fuzzy", "range"]
 KINDS = ["key", *WORD_KINDS, *PATTERN_KINDS]
@@ -132,6 +136,55 @@ def key_and(key_hits: DataFrame, clauses: DataFrame) -> DataFrame:
             .filter(F.col("n_found") == F.col("n_clauses")).select("query_id", "doc_id"))
 
 
+def key_search(key_postings: DataFrame, key_dictionary: DataFrame, clauses: DataFrame,
+               buckets: int = 0) -> DataFrame:
+    """Documents that hold the keys of all clauses of a query, rarest key first: ``query_id, doc_id``.
+
+    The documents of each query's rarest key are found first; of the other keys only postings of these documents
+    are counted, the rest is left behind by the scan that reads them.
+    """
+    small = fits_broadcast(clauses)
+    keep = limit_to_rarest(clauses, small, [(_key_terms(clauses), key_dictionary, key_postings)], buckets)
+    return key_and(keep(key_lookup(key_postings, clauses, buckets, small)), clauses)
+
+
+def limit_to_rarest(clauses: DataFrame, small: bool, sources: list[tuple[DataFrame, DataFrame, DataFrame]],
+                    buckets: int) -> Callable[[DataFrame], DataFrame]:
+    """A filter for hits of queries that ask for two things or more, one of them a single term: only documents of
+    the rarest such term stay.
+
+    ``sources``: rows of terms that must be there (``query_id, clause_id, field, term``), the dictionary and the
+    postings they are in. Documents of the rarest terms are found in one pass over their buckets, measured
+    by the dictionary before they are read, and broadcast; queries whose rarest term has too many go unlimited.
+    """
+    needs = clauses.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("query_id")
+    terms = [t.join(needs, "query_id", "left_semi") for t, _, _ in sources]
+    if not small or not any(t.take(1) for t in terms):
+        return lambda hits: hits
+    counted = [
+        t.join(term_frequencies(dictionary, t, buckets, True), ["field", "term"], "left")
+        .select("query_id", "field", "term", F.coalesce("df", F.lit(0)).alias("df"), F.lit(no).alias("source"))
+        for no, (t, (_, dictionary, _)) in enumerate(zip(terms, sources))]
+    first = W.partitionBy("query_id").orderBy("df", "source", "field", "term")
+    # a row for each query; the clauses are measured to be few
+    together = W.orderBy("df", "query_id").rowsBetween(W.unboundedPreceding, 0)
+    rarest = materialise(
+        reduce(DataFrame.unionByName, counted).withColumn("_no", F.row_number().over(first)).filter("_no = 1")
+        .withColumn("_sum", F.sum("df").over(together)).filter(F.col("_sum") <= MOST_LIMITING)
+        .select("query_id", "field", "term", "source"), "rarest_terms")
+    found = []
+    for no, (_, _, postings) in enumerate(sources):
+        asked = rarest.filter(F.col("source") == no)
+        placed, on = placed_terms(asked.select("query_id", "field", F.explode(F.array("term")).alias("term")), buckets)
+        wanted = asked_rows(postings, "term", few_values(asked, "term"))
+        found.append(lookup_join(wanted, placed, on, small=True).select("query_id", "doc_id"))
+    docs = materialise(reduce(DataFrame.unionByName, found).distinct(), "rarest_documents")
+    limited = F.broadcast(rarest.select("query_id", F.lit(True).alias("_limited")))
+    inside = F.broadcast(docs.withColumn("_inside", F.lit(True)))
+    return lambda hits: (hits.join(limited, "query_id", "left").join(inside, ["query_id", "doc_id"], "left")
+                         .filter(F.col("_limited").isNull() | F.col("_inside")).drop("_limited", "_inside"))
+
+
 def clause_selectivity(key_dictionary: DataFrame, clauses: DataFrame,
                        buckets: int = 0) -> DataFrame:
     """Key clauses of each query, rarest key first. Unknown keys have frequency 0."""
@@ -190,19 +243,24 @@ def _postings_of(index: Index, terms: DataFrame, on: list[str], columns: list[st
     return lookup_join(postings, terms, on, small=False, counts=counts)
 
 
-def phrase_search(index: Index, weighted: DataFrame, small: bool | None = None) -> DataFrame:
+def _all(hits: DataFrame) -> DataFrame:
+    return hits
+
+
+def phrase_search(index: Index, weighted: DataFrame, small: bool | None = None,
+                  keep: Callable[[DataFrame], DataFrame] = _all) -> DataFrame:
     """Hits of phrase clauses: all words next to each other, in order.
 
     Documents that hold all words are found first, without positions, and stored;
     positions are then read and moved for those only. Word starts are intersected inside
     the row of a document. The frequency of a phrase is the number of its starts, its
-    idf the sum over its words.
+    idf the sum over its words. ``keep`` filters documents before anything is shuffled.
     """
     words_of, on = placed_terms(weighted.filter(F.col("kind") == "phrase"), index.buckets)
     place = ["query_id", "clause_id", "doc_id"]
     # a phrase with a word the index lacks has too few rows and drops out here
     whole = materialise(
-        _postings_of(index, words_of, on, ["doc_id"], small).groupBy(*place)
+        keep(_postings_of(index, words_of, on, ["doc_id"], small)).groupBy(*place)
         .agg(F.count(F.lit(1)).alias("n"), F.first("n_words").alias("n_words"))
         .filter("n = n_words").select(*place), "documents_with_all_words")
     hits = lookup_join(_postings_of(index, words_of, on, ["doc_id", "doc_len", "positions"], small),
@@ -274,10 +332,11 @@ def term_expand(dictionary: DataFrame, clauses: DataFrame, default_field: str =
         p.filter(fits).select("query_id", "clause_id", "field", "term") for p in parts])
 
 
-def pattern_search(index: Index, expanded: DataFrame) -> DataFrame:
+def pattern_search(index: Index, expanded: DataFrame,
+                   keep: Callable[[DataFrame], DataFrame] = _all) -> DataFrame:
     """Hits of pattern clauses, one row per clause and document, all scored 1."""
     terms, on = placed_terms(expanded, index.buckets)
-    hits = _postings_of(index, terms, on, ["doc_id"], None)
+    hits = keep(_postings_of(index, terms, on, ["doc_id"], None))
     return (hits.select("query_id", "clause_id", "doc_id").distinct()
             .withColumn("score", F.lit(1.0)))
 
@@ -374,31 +433,47 @@ def all_clause_hits(index: Index, clauses: DataFrame, default_field: str = DEFAU
 
 
 def _clause_hits(index: Index, clauses: DataFrame, small: bool, asked: set[str],
-                 default_field: str, rest_field: str | None) -> DataFrame:
-    """Hits of the kinds asked for; branches for the others are left out of the plan."""
+                 default_field: str, rest_field: str | None,
+                 keep: Callable[[DataFrame], DataFrame] = _all) -> DataFrame:
+    """Hits of the kinds asked for; branches for the others are left out of the plan.
+
+    ``keep`` filters hits where postings are read, before they are shuffled.
+    """
     parts = []
     if "key" in asked or not asked:
-        keys = key_lookup(index.key_postings, clauses, index.buckets, small)
+        keys = keep(key_lookup(index.key_postings, clauses, index.buckets, small))
         parts.append(keys.select("query_id", "clause_id", "doc_id", F.lit(0.0).alias("score")))
     if asked & set(WORD_KINDS):
         rows = clause_words(clauses, default_field, rest_field)
         few_words = fits_broadcast(rows)
         weighted = weigh_words(index, rows, few_words)
         if asked & {"term", "any_word"}:
-            parts.append(term_search(index, weighted, few_words))
+            parts.append(keep(term_search(index, weighted, few_words)))
         if "phrase" in asked:
-            parts.append(phrase_search(index, weighted, few_words))
+            parts.append(phrase_search(index, weighted, few_words, keep))
     if asked & set(PATTERN_KINDS):
         # the terms are needed twice: to measure them and to look them up
         expanded = materialise(
             term_expand(index.dictionary, clauses, default_field, small, index.lookups), "expanded_terms")
-        parts.append(pattern_search(index, expanded))
+        parts.append(pattern_search(index, expanded, keep))
     return reduce(DataFrame.unionByName, parts)
 
 
 def search(index: Index, clauses: DataFrame, n: int | None = None,
            default_field: str = DEFAULT_FIELD, rest_field: str | None = None) -> DataFrame:
-    """Ranked hits of all queries: ``query_id, doc_id, score, rank``."""
+    """Ranked hits of all queries: ``query_id, doc_id, score, rank``.
+
+    Where a key or a word must be there beside other clauses, documents of the rarest one limit the hits of all others
+    as they are read.
+    """
     small, asked = survey(clauses, "kind", KINDS)
-    hits = _clause_hits(index, clauses, small, asked, default_field, rest_field)
+    must = clauses.filter(F.col("occur") == "must")
+    sources = []
+    if "key" in asked:
+        sources.append((_key_terms(must), index.key_dictionary, index.key_postings))
+    if "term" in asked:
+        one = clause_words(must.filter(F.col("kind") == "term"), default_field).filter("n_words = 1")
+        sources.append((one.select("query_id", "clause_id", "field", "term"), index.dictionary, index.postings))
+    keep = limit_to_rarest(clauses, small, sources, index.buckets)
+    hits = _clause_hits(index, clauses, small, asked, default_field, rest_field, keep)
     return rank_bm25(_documents(hits, clauses, small), n)

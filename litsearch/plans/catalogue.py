@@ -343,8 +343,8 @@ def q29_and2(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q30_andn(spark: SparkSession, sf: str) -> DataFrame:
-    clauses = S.clause_table(spark, KEY_QUERIES)
-    return search.key_and(search.key_lookup(_keys(spark, sf), clauses), clauses)
+    keys, clauses = _keys(spark, sf), S.clause_table(spark, KEY_QUERIES)
+    return search.key_search(keys, index.term_dictionary(keys), clauses)
 
 
 def q31_selectivity(spark: SparkSession, sf: str) -> DataFrame:

@@ -156,3 +156,23 @@ def test_scratch_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     assert list(tmp_path.glob("session/*/three"))
     scratch.drop_scratch(spark)
     assert not list(tmp_path.glob("session/*"))
+
+
+def test_hot_postings_are_limited_by_the_rarest_clause(spark, tmp_path, capsys):
+    """Postings of a frequent key are filtered by the rare key's documents before they are shuffled."""
+    docs = S.papers(spark, SF)
+    path = str(tmp_path / "index")
+    write_index(build_index(docs, index.KEYS), path, buckets=16)
+    found = read_index(spark, path)
+    by_count = found.key_dictionary.filter("field = 'ieee_keys'").orderBy("df", "term").collect()
+    clauses = S.clause_table(spark, [("q", 0, "ieee_keys", "key", by_count[0].term, "must"),
+                                     ("q", 1, "ieee_keys", "key", by_count[-1].term, "must")])
+    for df in (search.key_search(found.key_postings, found.key_dictionary, clauses, found.buckets),
+               search.search(found, clauses, n=5)):
+        text = _plan(df, capsys)
+        physical = text[text.index("Physical Plan"):]
+        lines = physical.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "doc_id#" in line and "bucket#" in line)
+        above = [line for line in reversed(lines[:scan])]
+        exchange = next(i for i, line in enumerate(above) if "Exchange hashpartitioning" in line)
+        assert any("_inside" in line for line in above[:exchange])

@@ -1,3 +1,5 @@
+import random
+
 import golden
 import pytest
 from pyspark.sql import functions as F
@@ -317,3 +319,36 @@ def test_and_is_inside_or(spark, found):
     }
     got = _by_query(search.search(found, clause_table(spark, sum(queries.values(), []))))
     assert got["and"] == got["one"] & got["two"] and got["or"] == got["one"] | got["two"]
+
+
+def _random_queries(seed, values):
+    r = random.Random(seed)
+    out = []
+    for q in range(14):
+        for c in range(r.randint(1, 4)):
+            kind = r.choice(["key", "term", "term", "any_word", "phrase", "prefix"])
+            field = r.choice(["merged_keys", "combined_topics", None])
+            out.append((f"q{q}", c, field, kind, r.choice(values), r.choice(["must", "must", "should", "must_not"])))
+    return out
+
+
+@pytest.mark.parametrize("most", [search.MOST_LIMITING, 3])
+def test_rarest_documents_change_no_answer(spark, found, corpus, rows, monkeypatch, most):
+    monkeypatch.setattr(search, "MOST_LIMITING", most)
+    values = sorted({v for r in corpus.collect() for v in [*(r.merged_keys or []), *(r.combined_topics or [])]})
+    clauses = clause_table(spark, _random_queries(7, [*values, "energy", "volt", "nothing here"]))
+    plain = search.rank_all(search.boolean_search(search.all_clause_hits(found, clauses), clauses))
+    got = search.search(found, clauses)
+    def rounded(df):
+        return rows(df.select("query_id", "doc_id", F.round("score", 6).alias("score"), "rank"))
+    assert rounded(got) == rounded(plain) and got.count() >= 5
+
+
+def test_key_search_equals_counting_all_hits(spark, keyed, rows):
+    r = random.Random(5)
+    keys = [(x.field, x.term) for x in keyed.select("field", "term").distinct().collect()] + [("author_keys", "none")]
+    clauses = clause_table(
+        spark, [(f"q{q}", c, f, "key", t, "must") for q in range(60) for c in range(r.randint(1, 4))
+                for f, t in [r.choice(keys)]])
+    want = rows(search.key_and(search.key_lookup(keyed, clauses), clauses))
+    assert rows(search.key_search(keyed, index.term_dictionary(keyed), clauses)) == want and want
