@@ -25,6 +25,19 @@ def strings(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def groups(values: list[str], chars: int = 1_000_000):
+    """Consecutive texts of about so many characters together."""
+    held, size = [], 0
+    for text in values:
+        if held and size + len(text) > chars:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
 def run_starts(keys: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin in a sorted array."""
     if not len(keys):

@@ -30,9 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from litsearch.llm.common import (NOT_ALPHANUMERIC, joined_bytes, lower_ascii, run_starts, strings, table,
+from litsearch.llm.common import (NOT_ALPHANUMERIC, groups, joined_bytes, lower_ascii, run_starts, strings, table,
                                   word_hashes, word_spans)
-from litsearch.llm.op7_byte_bpe import groups
 
 STEP = 16  # words from one passage to the next; a passage is two steps long
 ITEMS_AT_ONCE, POWER, EXTRA, SEED = 256, 2, 8, 11

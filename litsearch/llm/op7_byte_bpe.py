@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litsearch.llm.common import strings, table, texts
+from litsearch.llm.common import groups, strings, table, texts
 from litsearch.llm.op1_token_counts import PIECES
 
 LONG_PIECE = 48
@@ -190,19 +190,6 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def groups(values: list[str], chars: int = CHARS_AT_ONCE):
-    """Consecutive texts of about so many characters together."""
-    held, size = [], 0
-    for text in values:
-        if held and size + len(text) > chars:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield held
-
-
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids, decoded``: ids as little-endian 32-bit numbers, and what they decode to."""

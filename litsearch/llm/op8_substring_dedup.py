@@ -30,13 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litsearch.llm.common import joined_bytes, mix, run_starts, table, texts, word_hashes, word_spans
-from litsearch.llm.op7_byte_bpe import groups
 from litsearch.sources.scratch import materialise
 
 WINDOW = 20
 BLOCK = WINDOW // 2
-#: Bytes of text to a bucket, and characters of text to a part.
-BUCKET_BYTES, PART_CHARS = 32 << 20, 2_000_000
+#: Bytes of text to a bucket, characters of text to a part, texts compressed at a time.
+BUCKET_BYTES, PART_CHARS, TEXTS_AT_ONCE = 32 << 20, 1_000_000, 500
 NO_ID = 2**63 - 1
 ASKED = "bucket int, part long, counts binary, keys binary, ids binary"
 ANSWERED = "part long, bucket int, counts binary, bits binary, ids binary"
@@ -47,22 +46,18 @@ def compress(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, digest, packed``; equal rows have equal digests."""
 
     def run(batches):
-        for batch in batches:
-            squeeze = zstandard.ZstdCompressor(level=3).compress
-            raw = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").fill_null(NO_ID),
-                pa.array(np.array([xxhash.xxh64_intdigest(x) for x in raw], np.uint64).view(np.int64)),
-                pa.array([squeeze(x) for x in raw], pa.binary())], names=["doc_id", "digest", "packed"])
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for whole in batches:
+            for batch in (whole.slice(a, TEXTS_AT_ONCE) for a in range(0, whole.num_rows, TEXTS_AT_ONCE)):
+                raw = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").fill_null(NO_ID),
+                    pa.array(np.array([xxhash.xxh64_intdigest(x) for x in raw], np.uint64).view(np.int64)),
+                    pa.array([squeeze(x) for x in raw], pa.binary())], names=["doc_id", "digest", "packed"])
 
     return texts(docs, id_col, text_col).mapInArrow(run, DOCS)
 
 
-def unpack(column: pa.Array) -> list[str]:
-    expand = zstandard.ZstdDecompressor().decompress
-    return [expand(x).decode("utf-8", "surrogatepass") for x in column.to_pylist()]
-
-
 class Part:
     """Words of some texts, hashed."""
 
@@ -129,11 +124,16 @@ def ask_blocks(buckets: int):
 
 
 def parts(batch: pa.RecordBatch):
+    """Ids, digests and texts of some rows at a time; only those are unpacked."""
     ids, digests = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "digest"))
-    at = 0
-    for group in groups(unpack(batch.column("packed")), PART_CHARS):
-        yield ids[at:at + len(group)], digests[at:at + len(group)], group
-        at += len(group)
+    expand = zstandard.ZstdDecompressor().decompress
+    held, chars, at = [], 0, 0
+    for i, packed in enumerate(batch.column("packed"), 1):
+        held.append(expand(packed.as_py()).decode("utf-8", "surrogatepass"))
+        chars += len(held[-1])
+        if chars >= PART_CHARS or i == batch.num_rows:
+            yield ids[at:i], digests[at:i], held
+            held, chars, at = [], 0, i
 
 
 def bits_of(blob: bytes | None, n: int) -> np.ndarray:
@@ -263,8 +263,9 @@ def cut_out(buckets: int):
     def run(batches):
         for batch in batches:
             hits, again = (batch.column(c).to_pylist() for c in ("bits", "again"))
-            at, n_words, n_removed, kept = 0, [], [], []
+            at = 0
             for _, _, values in parts(batch):
+                n_words, n_removed, kept = [], [], []
                 part = Part(values)
                 where, keys = near_hits(part, hits[at:at + len(values)], buckets)
                 n = np.bincount(part.doc[where], minlength=len(values)).tolist()
@@ -274,7 +275,6 @@ def cut_out(buckets: int):
                 np.add.at(edge, where[yes], 1)
                 np.add.at(edge, where[yes] + WINDOW, -1)
                 gone = np.cumsum(edge[:-1]) > 0
-                at += len(values)
                 for i, text in enumerate(values):
                     words = text.encode("utf-8", "surrogatepass").split()
                     out = gone[part.first[i]:part.first[i + 1]]
@@ -283,10 +283,11 @@ def cut_out(buckets: int):
                     if n_removed[-1]:
                         words = [words[j] for j in np.flatnonzero(~out).tolist()]
                     kept.append(b" ".join(words))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                pa.array(kept, pa.binary()).cast(pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id")[at:at + len(values)], pa.array(n_words, pa.int64()),
+                    pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                    names=["doc_id", "n_words", "n_removed", "kept"])
+                at += len(values)
 
     return run
 
