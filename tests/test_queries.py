@@ -50,3 +50,11 @@ def test_flagship(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert {"query_id", "doc_id", "score", "rank", "topic", "n_docs"} <= set(df.columns)
+
+
+def test_queries_without_the_text_operators(monkeypatch):
+    """Where a library of the text operators is missing, all other queries are still there."""
+    for name in [*(n for n in sys.modules if n.startswith("litsearch.llm")), "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name, raising=False)
+    monkeypatch.setitem(sys.modules, "zstandard", None)
+    assert set(entry.queries()) == set(QUERIES) == set(entry.oracle_sql())
