@@ -57,6 +57,57 @@ def test_text_of_pages(spark):
     assert op2.extract(pages.limit(0)).count() == 0
 
 
+def test_several_winning_paths():
+    """A lead longer than the body beside it keeps neither the body nor the heading away."""
+    html = page(f"<div class='post'><h1>Head</h1><div class='lead'><p>{LONG * 3}</p></div><h2>Between</h2>"
+                f"<div class='text'><p>{LONG}</p><p>End.</p></div></div><div class='side-box'><p>Small.</p></div>")
+    assert op2.main_text(html, None) == "\n".join(["Head", (LONG * 3).strip(), "Between", LONG.strip(), "End."])
+    apart = page(f"<div class='lead'><p>{LONG * 3}</p></div><div class='odd'>Clutter.</div><div class='text'><p>{LONG}</p></div>")
+    assert op2.main_text(apart, None) == f"{(LONG * 3).strip()}\n{LONG.strip()}"
+    # paths elected by the host, on a page where the second holds next to nothing
+    short = apart.replace(f"<p>{LONG}</p></div>", "<p>Short end.</p></div>")
+    assert op2.main_text(short, ["html/body/div.lead", "html/body/div.text"]).endswith("\nShort end.")
+
+
+@pytest.mark.parametrize("depth", [39, 40, 41, 60, 200, 20_000])
+def test_any_depth(depth):
+    html = page("<div>" * depth + f"{MENU}<div class='post'><p>{LONG}</p><ul><li>item</li></ul></div>"
+                + f"<div class='sidebar'>{LONG}</div>" + "</div>" * depth + "<footer>f</footer>")
+    want = f"{LONG.strip()}\nitem"
+    assert op2.main_text(html, None) == want
+    counted = op2.votes(op2.read_page(html))
+    assert op2.main_text(html, sorted(op2.elect(counted))) == want
+    assert max(p.count("/") for p in counted) <= op2.WRITTEN_STEPS
+
+
+def test_words_of_a_wrapper_do_not_strike_it():
+    inner = f"<h1>H</h1><p>{LONG}</p><div class='sidebar'><p>{LONG}</p></div><div id='comments'><p>{LONG}</p><p>{LONG}</p></div>"
+    for wrapper in ("page no-sidebar", "has-menu", "search-results"):
+        assert op2.main_text(page(f"<div class='{wrapper}'>{inner}</div>"), None) == f"H\n{LONG.strip()}"
+    plain = page(f"<div class='no-sidebar'><div class='post'><p>{LONG}</p><p>x</p></div></div>")
+    assert op2.main_text(plain, None) == f"{LONG.strip()}\nx"
+    # comments stay out, however long beside a short article
+    assert op2.main_text(page(f"<div class='post'><p>Short.</p></div><div id='comments'><p>{LONG * 9}</p><p>y</p></div>"),
+                         None) == "Short."
+
+
+def test_votes_of_hosts_against_a_plain_count(spark):
+    from collections import Counter
+
+    texts = [news(LONG * (1 + i % 3)) if i % 4 else page(f"<main><p>{LONG}</p></main><div class='b'><p>{LONG * i}</p></div>")
+             for i in range(23)]
+    rows = [("h" if i % 3 else "g", t) for i, t in enumerate(texts)]
+    got = {r.host: set(r.winners) for r in op2.host_winners(spark.createDataFrame(rows, "host string, html string")).collect()}
+    for host in ("g", "h"):
+        every, own = Counter(), Counter()
+        for h, t in rows:
+            if h == host:
+                for p, (a, b) in op2.votes(op2.read_page(t)).items():
+                    every[p] += a
+                    own[p] += b
+        assert got[host] == op2.elect({p: (every[p], own[p]) for p in every})
+
+
 SF = "/root/testdata/sf0.001"
 
 
