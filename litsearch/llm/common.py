@@ -110,3 +110,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def hash_limit(wanted: int, rows: int) -> int:
+    """About ``wanted`` of ``rows`` rows have a 64-bit hash up to this, at any number of rows."""
+    return min(1 << 64, (wanted << 64) // max(1, rows)) - (1 << 63) - 1

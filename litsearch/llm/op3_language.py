@@ -7,7 +7,7 @@ a span of its own and single odd words do not. The language of most letters is t
 text's; its share of the letters is the score.
 
 The model holds hashed trigram counts per language, learned from a bounded sample of
-labelled texts (``SAMPLE_PER_LANGUAGE`` of each language, taken by a hash of the id).
+labelled texts (``SAMPLE_PER_LANGUAGE`` of each of ``MOST_LANGUAGES`` languages, taken by a hash of the id).
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every
 text if nothing could be learned. Words in a script no language uses say nothing and take
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from litsearch.llm.common import run_starts, strings, table
+from litsearch.llm.common import hash_limit, run_starts, strings, table
 from litsearch.llm.op7_byte_bpe import groups
 
 #: First code point, last code point and name of scripts.
@@ -45,6 +45,8 @@ SCRIPT_NAMES = ("other", *sorted({name for _, _, name in SCRIPTS}))
 FEATURES = 1 << 14
 #: Labelled texts to learn from, of each language: the bound of the sample.
 SAMPLE_PER_LANGUAGE = 2000
+#: Languages learned at most, the most frequent ones.
+MOST_LANGUAGES = 1000
 #: A language uses a script if so much of its letters are in it.
 SCRIPT_SHARE = 0.01
 #: Log-probability a change of language costs, and a word in a script that is not used.
@@ -113,14 +115,13 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Count the trigrams of a bounded sample of labelled texts; counts are summed by Spark."""
     labelled = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
                            F.col(text_col).alias("text")).filter("lang IS NOT NULL")
-    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool))
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1_000_000))
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items()
-                           for x in (lang, int(min(1, sample / n) * 1_000_000))])
-    drawn = labelled.filter(draw < share[F.col("lang")]).select("lang", "text")
+    upto = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, hash_limit(sample, n))])
+    drawn = labelled.filter(F.xxhash64(F.lit("sample"), "id") <= upto[F.col("lang")]).select("lang", "text")
 
     def count(batches):
         for batch in batches:

@@ -15,12 +15,14 @@ on things that look alike, and on at most ``SAMPLE`` places of the corpus, label
 rules (a bounded sample, drawn by a hash of the id).
 
 Defined cases: a null text counts as empty and has no spans. Spans are code points, end
-exclusive. Stretches without blank of more than ``REGION`` characters are cut. Repeated
+exclusive. Stretches of more than ``REGION`` characters are read in pieces that overlap by twice
+``OVERLAP`` characters, so an entity of up to ``OVERLAP`` characters lies whole in the piece it starts in. Repeated
 rows give repeated rows. Columns other than id and text are not read.
 """
 
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from litsearch.llm.common import strings, table
+from litsearch.llm.common import hash_limit, strings, table
 
 #: Kinds in the order they are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -42,8 +44,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 DIGIT = re.compile(r"[0-9]")
 
-SAMPLE, SAMPLE_TEXTS = 500, 20_000
-MOST_TOKENS, REGION, AROUND, MARGIN = 16, 400, 40, 3.0
+SAMPLE, SAMPLE_TEXTS = 1500, 20_000
+MOST_TOKENS, REGION, AROUND, OVERLAP, MARGIN = 16, 400, 40, 100, 3.0
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[^A-Za-z0-9\s]")
 TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
 EDGE = re.compile(r"[A-Za-z0-9+(]")
@@ -307,7 +309,7 @@ def fit(examples: list[tuple[str, list[tuple[int, int, str]]]], rounds: int = 5,
     return weights
 
 
-def written_examples(n: int = 25, seed: int = 6) -> list[tuple[str, list[tuple[int, int, str]]]]:
+def written_examples(n: int = 60, seed: int = 6) -> list[tuple[str, list[tuple[int, int, str]]]]:
     """Forms of each kind in which the rules do not know them, and things that look alike."""
     rng = random.Random(seed)
 
@@ -358,8 +360,8 @@ def written_examples(n: int = 25, seed: int = 6) -> list[tuple[str, list[tuple[i
     return out
 
 
-def regions(text: str, covered: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Stretches around triggers that no rule has covered."""
+def regions(text: str, covered: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, int]]:
+    """Stretches around triggers that no rule has covered, and from where to where spans of theirs may start."""
     covered = sorted(covered)
     spots, c = [], 0
     for m in TRIGGER.finditer(text):
@@ -367,7 +369,7 @@ def regions(text: str, covered: list[tuple[int, int]]) -> Iterator[tuple[int, in
             c += 1
         if c == len(covered) or m.start() < covered[c][0]:
             spots.append(m.start())
-    i, free = 0, 0
+    i, free, own = 0, 0, 0
     while i < len(spots):
         start = max(free, spots[i] - AROUND)
         j = i
@@ -376,15 +378,22 @@ def regions(text: str, covered: list[tuple[int, int]]) -> Iterator[tuple[int, in
         end = min(len(text), spots[j] + 1 + AROUND)
         blank = text.find(" ", spots[j], end) if end < len(text) else -1
         end = max(text.rfind(" ", spots[j], end), spots[j] + 1) if blank >= 0 else end
-        yield start, end
-        free, i = end, j + 1
+        if j + 1 < len(spots) and spots[j + 1] - spots[j] < AROUND:
+            last = end - OVERLAP
+            yield start, end, max(start, own), last
+            own, free = last, last - OVERLAP
+            free = max(free - AROUND, text.rfind(" ", free - AROUND, free) + 1) if " " in text[free - AROUND:free] else free
+            i = bisect_left(spots, free)
+        else:
+            yield start, end, max(start, own), end
+            own, free, i = end, end, j + 1
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Weights:
     """Fit on written-out forms and a bounded sample of places labelled by the rules."""
     total = max(1, docs.count())
     drawn = docs.select(F.xxhash64(F.lit("pii"), id_col).alias("draw"), F.col(text_col).alias("text")).filter(
-        F.pmod("draw", F.lit(1_000_000)) < int(min(1, SAMPLE_TEXTS / total) * 1_000_000))
+        F.col("draw") <= hash_limit(SAMPLE_TEXTS, total))
 
     def places(batches):
         for batch in batches:
@@ -392,7 +401,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
             for draw, text in zip(batch.column("draw").to_pylist(), strings(batch.column("text"))):
                 spans = base_spans(text)
                 flat = sorted((a, b, kind) for kind, s in spans.items() for a, b in s)
-                for a, b in regions(text, []):
+                for a, b, _, _ in regions(text, []):
                     held = [x for x in flat if a <= x[0] and x[1] <= b]
                     if all(x[1] <= y[0] for x, y in zip(held, held[1:])):
                         out["draw"].append(draw)
@@ -413,10 +422,13 @@ def all_spans(text: str, weights: Weights) -> tuple[dict, dict]:
     base = base_spans(text)
     covered = [span for spans in base.values() for span in spans]
     every = {kind: list(spans) for kind, spans in base.items()}
-    for a, b in regions(text, covered):
+    free = 0
+    for a, b, first, last in regions(text, covered):
         near = [s for s in covered if s[1] > a and s[0] < b]
-        for x, y, kind in best_path(Lattice(text, a, b, near), weights):
-            every[kind].append((x, y))
+        for x, y, kind in sorted(best_path(Lattice(text, a, b, near), weights)):
+            if max(first, free) <= x < last:
+                every[kind].append((x, y))
+                free = y
     return base, every
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from litsearch.llm.common import strings, table, texts
 from litsearch.llm.components import components
+from litsearch.operators.joins import lookup_join
 from litsearch.sources.scratch import materialise
 
 SHINGLE, SEED, BITS, DISTANCE = 4, 42, 64, 4
@@ -183,21 +184,26 @@ def edges(distinct: DataFrame) -> DataFrame:
 
 
 def cluster(marked: DataFrame) -> DataFrame:
-    """``bits, component_id`` of every distinct fingerprint of ``marked(doc_id, bits)``."""
+    """``bits, component, component_id`` (least fingerprint and least id that links reach) of every
+    distinct fingerprint of ``marked(doc_id, bits)``."""
     distinct = marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"))
     linked = components(edges(distinct.select("bits"))).withColumnRenamed("node", "bits")
-    grouped = distinct.join(linked, "bits", "left").withColumn(
-        "component", F.coalesce("component", "bits"))
-    least = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return grouped.join(least, "component").select("bits", "component_id")
+    members = materialise(distinct.join(linked, "bits"), "linked_fingerprints")
+    least = materialise(members.groupBy("component").agg(F.min("first_id").alias("component_id")), "component_ids")
+    named = lookup_join(members, least, ["component"], spread=("bits",)).select("bits", "component", "component_id")
+    # what has no link is its own component; a null id of linked ones stays null
+    return distinct.join(named, "bits", "left").select(
+        "bits", F.coalesce("component", "bits").alias("component"),
+        F.when(F.col("component").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row."""
+    """``doc_id, fingerprint, component_id, component`` (its least fingerprint as a signed number) of every row."""
     marked = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
-    return marked.join(cluster(marked), "bits").select(
-        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+    found = lookup_join(marked, materialise(cluster(marked), "clusters"), ["bits"])
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id", "component")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_documents(table(spark, sf_dir, "documents"))
+    return link_documents(table(spark, sf_dir, "documents")).drop("component")

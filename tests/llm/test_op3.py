@@ -74,3 +74,12 @@ def test_held_out_accuracy(spark):
     got = op3.op3_language(spark, SF).filter("held_out").join(
         spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
     assert got.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("double"))).first()[0] > 0.97
+
+
+def test_sample_at_any_size():
+    from litsearch.llm.common import hash_limit
+
+    for n in (1, 2000, 2001, 10 ** 6, 10 ** 10, 10 ** 13):
+        share = (hash_limit(2000, n) + 2 ** 63 + 1) / 2 ** 64
+        assert abs(share - min(1, 2000 / n)) <= 1e-6 * share
+    assert hash_limit(2000, 0) == 2 ** 63 - 1

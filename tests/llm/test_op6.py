@@ -106,6 +106,30 @@ def test_held_out_forms(weights):
     assert right / total > 0.9 and wrong / clean < 0.03
 
 
+@pytest.mark.parametrize("gap", [", ", " ", "; call "])
+def test_long_lists(weights, gap):
+    """Of 200 numbers in a row each is found, with the bounds it has alone."""
+    numbers = [f"({200 + i}) 555-{1000 + 7 * i}" for i in range(200)]
+    text = gap.join(numbers)
+    at, want = 0, set()
+    for number in numbers:
+        want.add((at, at + len(number)))
+        at += len(number) + len(gap)
+    _, every = op6.all_spans(text, weights)
+    assert want <= set(every["phone"])
+    flat = sorted(s for spans in every.values() for s in spans)
+    assert all(x[1] <= y[0] for x, y in zip(flat, flat[1:]))
+
+
+def test_regions_overlap():
+    for text in ("12 " * 900, "1" * 5000, "ab 12 " * 400, "x" * 3000 + " 1"):
+        at = None
+        for start, end, first, last in op6.regions(text, []):
+            assert start <= first < last <= end <= len(text) and end - start <= op6.REGION + 2 * op6.AROUND
+            assert at is None or first >= at
+            at = last
+
+
 def test_cases(spark, weights):
     texts = [None, "", "no data here.", "Version 2.0, 2004-01-05.", "mail a.b@c.org or +1 (274) 555-9629.",
              "call (274) 555-9629 now", "ip 10.0.0.1 and 10.0.0.256", "card 4495114827612972 é x@y.co",
