@@ -39,6 +39,16 @@ def test_near_duplicates(spark, small):
     assert [r.__fields__ for r in kept][0] == COLUMNS
 
 
+def test_rows_that_share_an_id(spark):
+    """Other texts of an id are other documents; rows without an id stay."""
+    texts = [(1, EN * 3), (1, DE * 3), (1, DE * 3), (2, EN * 3), (3, DE * 3), (None, EN * 3), (None, EN * 3), (4, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "x", "s", 0, k) for k, (i, t) in enumerate(texts)], SCHEMA + ", row_key long")
+    kept = cp.near_duplicates(spark, docs, SF)
+    assert kept.columns == [*COLUMNS, "row_key"]
+    got = [(r.doc_id, r.text or "") for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(1, EN * 3), (1, DE * 3), (None, EN * 3), (None, EN * 3), (4, "")], key=str)
+
+
 def test_personal_data(spark, small):
     kept = {r.doc_id: r for r in cp.personal_data(spark, small, SF).collect()}
     assert kept[8].text == EN + "mail [EMAIL]" and kept[8].n_chars == len(kept[8].text)
