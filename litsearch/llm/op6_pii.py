@@ -187,6 +187,11 @@ class Weights:
 
     def scores(self, lattice: Lattice) -> tuple[np.ndarray, np.ndarray]:
         """Of every token outside, and of every segment as every label."""
+        known = getattr(lattice, "known", None)
+        if known:
+            (tokens, token_at), (spans, span_at) = known
+            inside = np.add.reduceat(self.values[spans], span_at) if len(spans) else np.zeros((0, len(LABELS)))
+            return np.add.reduceat(self.values[tokens, 0], token_at), inside
         out = np.array([self.values[self.ids(token_features(t)), 0].sum() for t in lattice.tokens])
         inside = np.array([self.values[self.ids(f)].sum(axis=0) for f in lattice.features])
         return out, inside.reshape(-1, len(LABELS))
@@ -286,22 +291,29 @@ def fit(examples: list[tuple[str, list[tuple[int, int, str]]]], rounds: int = 5,
         place = {b: i for i, b in enumerate(lattice.bounds)}
         truth = [(place.get(a), place.get(b), LABELS.index(kind)) for a, b, kind in entities]
         if lattice.tokens and all(t[:2] in set(lattice.segments) for t in truth):
-            data.append((lattice, truth, [weights.ids(f, True) for f in lattice.features],
-                         [weights.ids(token_features(t), True) for t in lattice.tokens]))
+            span_ids = [weights.ids(f, True) for f in lattice.features]
+            token_ids = [weights.ids(token_features(t), True) for t in lattice.tokens]
+            # names are looked up once; every segment and token has some
+            lattice.known = [(np.array(sum(x, []), np.int64), np.cumsum([0, *map(len, x[:-1])]) if x else None)
+                             for x in (token_ids, span_ids)]
+            here = np.unique(np.concatenate([ids for ids, _ in lattice.known]))
+            data.append((lattice, truth, here, [np.searchsorted(here, x) for x in span_ids],
+                         [np.searchsorted(here, x) for x in token_ids]))
     weights.values = np.zeros((len(weights.index), len(LABELS)))
     seen, seen_pairs = np.full_like(weights.values, 1e-6), np.full_like(weights.after, 1e-6)
     rng = random.Random(5)
     for _ in range(rounds):
         rng.shuffle(data)
-        for lattice, truth, span_ids, token_ids in data:
+        for lattice, truth, here, span_ids, token_ids in data:
             tokens, spans, pairs = gradient(lattice, truth, weights)
-            step = np.zeros_like(weights.values)
+            step = np.zeros((len(here), len(LABELS)))  # of the features at hand only
             for ids, g in zip(token_ids, tokens):
                 step[ids, 0] += g
             for ids, g in zip(span_ids, spans):
                 step[ids] += g
-            used = np.flatnonzero(step.any(axis=1))
-            step = step[used] - decay * weights.values[used]
+            moved = step.any(axis=1)
+            used = here[moved]
+            step = step[moved] - decay * weights.values[used]
             seen[used] += step**2
             weights.values[used] += rate * step / np.sqrt(seen[used])
             seen_pairs += pairs**2
