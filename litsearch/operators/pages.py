@@ -8,6 +8,7 @@ from litsearch.fixed_values import (
 )
 from litsearch.functions.text import flatten_html
 from litsearch.operators.joins import fits_broadcast
+from litsearch.sources.history import possible_rows
 from litsearch.sources.scratch import materialise
 
 Rules = dict[str, tuple[str, int]]
@@ -81,17 +82,18 @@ def frontier(candidates: DataFrame, visited: DataFrame, page: str = "page_id",
 
     Repeats of a link are merged before the shuffle, so a link that every page
     holds costs one row per task. Candidates measured to be small are broadcast to
-    the history, which then is not shuffled; others share the hash of ``url`` with it.
+    the history, which then is not shuffled and of which, if it is stored by bucket, only
+    their folders are opened; others share the hash of ``url`` with it.
     """
     first_seen = materialise(candidates.groupBy("url").agg(F.min(page).alias(page)), "candidates")
-    known = visited.select("url")
     if small is None:
         small = fits_broadcast(first_seen)
     if small:
+        known = possible_rows(visited, first_seen)
         known = known.join(F.broadcast(first_seen.select("url")), "url", "left_semi").distinct()
         # no more rows than there are candidates
         return first_seen.join(F.broadcast(known), "url", "left_anti")
-    return first_seen.join(known.distinct(), "url", "left_anti")
+    return first_seen.join(visited.select("url").distinct(), "url", "left_anti")
 
 
 def frontier_counts(new_links: DataFrame, page: str = "page_id") -> DataFrame:

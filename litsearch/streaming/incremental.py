@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from litsearch.fixed_values import PAPER_LINK_BASE, PAPER_LINK_PATTERN
 from litsearch.operators.pages import extract_outlinks, extract_papers, frontier, normalise_html
+from litsearch.sources.history import LINKS, with_bucket, write_links
 
 
 def extract_incremental(spark: SparkSession, source: str, out: str, checkpoint: str,
@@ -26,8 +27,8 @@ def extract_incremental(spark: SparkSession, source: str, out: str, checkpoint:
 
 
 def visited_table(spark: SparkSession, path: str) -> DataFrame:
-    """Links emitted so far, with the batch that emitted them."""
-    return spark.read.schema("url string, page_id bigint, batch bigint").parquet(path)
+    """Links emitted so far, with the batch that emitted them and the hash they are stored by."""
+    return spark.read.schema(f"{LINKS}, batch bigint, bucket int").parquet(path)
 
 
 def add_new_links(pages: DataFrame, batch: int, visited_path: str,
@@ -36,21 +37,20 @@ def add_new_links(pages: DataFrame, batch: int, visited_path: str,
     """Write links of one batch of pages that no earlier batch emitted and ``seed`` lacks.
 
     The result goes to the folder of the batch, which a replay overwrites, and a
-    replay does not count its own first try as visited.
+    replay does not count its own first try as visited. Of the history only folders that may
+    hold links of the batch are opened.
     """
     spark = pages.sparkSession
     links = extract_outlinks(normalise_html(pages), pattern, base)
     try:
-        seen = visited_table(spark, visited_path).filter(F.col("batch") < batch)
-        seen = seen.select("url")
+        seen = with_bucket(visited_table(spark, visited_path).filter(F.col("batch") < batch))
     except Exception as error:  # first batch: nothing was written yet
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        seen = spark.createDataFrame([], "url string")
+        seen = spark.createDataFrame([], "url string, bucket int")
     if seed is not None:
-        seen = seen.unionByName(seed.select("url"))
-    (frontier(links, seen).select("url", "page_id")
-     .write.mode("overwrite").parquet(f"{visited_path}/batch={batch}"))
+        seen = seen.unionByName(with_bucket(seed))
+    write_links(frontier(links, seen), f"{visited_path}/batch={batch}", "overwrite")
 
 
 def refresh_frontier_stream(pages: DataFrame, visited_path: str, checkpoint: str,
@@ -70,7 +70,9 @@ def refresh_frontier_stream(pages: DataFrame, visited_path: str, checkpoint: str
 
 
 def compact_visited(spark: SparkSession, visited_path: str, out: str) -> DataFrame:
-    """Write all links emitted so far as one table of few files, to seed the next stream."""
-    links = visited_table(spark, visited_path).select("url", "page_id")
-    links.hint("rebalance").write.mode("errorifexists").parquet(out)
-    return spark.read.schema("url string, page_id bigint").parquet(out)
+    """Write all links emitted so far as one table of few files, to seed the next stream.
+
+    It keeps the folders by hash, so a batch opens only its part of the seed too.
+    """
+    write_links(visited_table(spark, visited_path), out, "errorifexists")
+    return spark.read.schema(f"{LINKS}, bucket int").parquet(out)

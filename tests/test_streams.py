@@ -1,7 +1,9 @@
 import golden
 import pytest
+from pyspark.sql import functions as F
 
-from litsearch.operators.pages import extract_papers
+from litsearch.operators.pages import extract_papers, frontier
+from litsearch.sources.history import HISTORY_BUCKETS, link_bucket
 from litsearch.streaming.incremental import (
     add_new_links, compact_visited, extract_incremental, refresh_frontier_stream, visited_table,
 )
@@ -62,3 +64,33 @@ def test_links_are_emitted_once(spark, tmp_path, rows):
         "append").parquet(source)
     refresh_frontier_stream(stream, following, str(tmp_path / "state2"), base="", seed=seed)
     assert rows(visited_table(spark, following), "url", "page_id") == [("/document/4", 3)]
+
+
+def test_a_batch_opens_its_part_of_the_history(spark, tmp_path, rows, capsys):
+    visited = str(tmp_path / "visited")
+    links = "".join(f'<a href="/document/{i}"> ' for i in range(2000))
+    add_new_links(spark.createDataFrame([(1, links)], "page_id long, html string"), 0, visited, base="")
+    history = visited_table(spark, visited)
+    assert history.filter(F.col("bucket") != link_bucket("url")).isEmpty()
+    assert history.select("bucket").distinct().count() == HISTORY_BUCKETS
+    few = spark.createDataFrame([(2, "/document/7"), (2, "/document/x")], "page_id long, url string")
+    compact = compact_visited(spark, visited, str(tmp_path / "compact"))
+    for stored in (history, compact):
+        fresh = frontier(few, stored)
+        assert rows(fresh, "url", "page_id") == [("/document/x", 2)]
+        capsys.readouterr()
+        fresh.explain("formatted")
+        plan = capsys.readouterr().out
+        scan = [x for x in plan.splitlines() if "PartitionFilters" in x and "bucket" in x]
+        assert scan and any("In(url" in x for x in plan.splitlines() if "PushedFilters" in x)
+    # many links, and links stored without folders, give the same
+    for stored in (history, history.select("url"), compact.select("url", "page_id")):
+        for small in (True, False):
+            assert rows(frontier(few, stored, small=small), "url", "page_id") == [("/document/x", 2)]
+    # a batch without new links leaves the history readable
+    add_new_links(spark.createDataFrame([(3, '<a href="/document/1">')], "page_id long, html string"), 1, visited, base="")
+    assert visited_table(spark, visited).count() == 2000
+    empty = str(tmp_path / "empty")
+    for batch in (0, 1):
+        add_new_links(spark.createDataFrame([(3, "none")], "page_id long, html string"), batch, empty, base="")
+    assert rows(visited_table(spark, empty)) == []
