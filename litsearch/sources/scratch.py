@@ -38,14 +38,15 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write once, read back: lineage is cut and the size on disk is known.
 
     The copy outlives lost executors, and what is read from it several times is
-    computed once.
+    computed once. ``compression`` is that of the session if none is given.
     """
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    options = {"compression": compression} if compression else {}
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
