@@ -102,3 +102,36 @@ def test_only_the_rarest_grams_are_read(spark, dictionary, lookups):
     rare = sorted((grams.get(g, 0), g) for g in ("abc", "bca", "cab", "bc" + expansion.END))[:2]
     want = {t for t in TERMS if all(g in expansion.BEGIN + t + expansion.END for _, g in rare)}
     assert {f.term for f in found} == want
+
+
+@pytest.fixture(scope="module")
+def segmented(dictionary, lookups):
+    """Lookups as an index written now has them."""
+    segments = materialise(bucketed(expansion.term_segments(dictionary), "key", 4), "lookups")
+    return Lookups(lookups.grams, lookups.gram_counts, None, 4, segments)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_same_fuzzy_terms_by_segments(spark, dictionary, segmented, rows, small):
+    clauses = _clauses(spark, "fuzzy", FUZZY)
+    want = rows(search.term_expand(dictionary, clauses, small=small))
+    assert rows(search.term_expand(dictionary, clauses, small=small, lookups=segmented)) == want
+    assert len(want) > 300
+
+
+def test_terms_two_edits_apart_share_a_segment(spark):
+    pairs = []
+    for _ in range(60_000):
+        a = list(_word(0, 14, "abcdé"))
+        b = list(a)
+        for _ in range(r.randint(0, 2)):
+            at, what = r.randint(0, len(b)), r.randint(0, 2)
+            if what == 0:
+                b.insert(at, r.choice("abcdé"))
+            elif at < len(b):
+                b[at:at + 1] = [] if what == 1 else [r.choice("abcdé")]
+        pairs.append(("".join(a), "".join(b)))
+    table = spark.createDataFrame(pairs, "a string, b string")
+    shared = F.arrays_overlap(expansion.segment_keys(F.col("a")), expansion.asked_segment_keys(F.col("b")))
+    assert table.filter(~shared).count() == 0
+    assert table.select(F.max(F.size(expansion.segment_keys(F.col("a"))))).first()[0] == 3
