@@ -19,6 +19,17 @@ def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def write_page_files(pages: DataFrame, path: str, page_id: str, column: str = "value") -> None:
+    """Write pages to a new folder, one per file; rows that share an id are one page.
+
+    Files lie beside each other, without a folder each. Tasks move their own files into place: nobody reads the
+    folder before all are written, and a task that runs again writes files of the same names.
+    """
+    text = F.array_join(F.collect_list(F.coalesce(column, F.lit(""))), "\n")
+    (pages.groupBy(page_id).agg(text.alias("value")).select("value")
+     .write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path))
+
+
 def write_page_lines(pages: DataFrame, path: str, column: str = "value") -> None:
     """Append pages to a folder of text files, one page per line."""
     pages.select(flatten_html(F.col(column)).alias("value")).write.mode("append").text(path)
