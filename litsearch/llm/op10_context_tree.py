@@ -8,11 +8,11 @@ estimates along the path of contexts by the weights that follow from the trainin
 
 Training counts are gathered from all training texts: every task counts byte strings of
 ``DEPTH`` + 1 and words, Spark adds the counts up. A context has a node of its own if at
-least ``LEAST`` training bytes follow it, so the tree grows with the corpus and a node stays
-whatever else is added; the rarer children of a node share one leaf. Contexts that
+least ``LEAST`` training bytes follow it: all but those that occur once, of which the children of a node share one leaf.
+So a node stays whatever else is added. Contexts that
 ``NODE_SHARE`` of all bytes follow (at most 1 / NODE_SHARE of a depth) are weighed in the
 driver and sent to all tasks. All others stay a Spark table: below each frequent context they
-are weighed in the task of its bucket, which adds their weights up for it, and a place of a text
+are weighed in the task of its bucket, by the decisions that were seen there and no others, which adds their weights up for it, and a place of a text
 whose path leaves the frequent contexts is sent, once for each different byte string of some
 texts, to the bucket of the context it enters. An entered context holds less than NODE_SHARE of
 all places. A text ends with the byte FF, which UTF-8 does not use, and begins after such bytes.
@@ -44,14 +44,14 @@ from litsearch.llm.op7_byte_bpe import groups
 from litsearch.sources.scratch import materialise
 
 DEPTH = 4
-LEAST = 256
+LEAST = 2
 NODE_SHARE = 2.0 ** -15
 HOT_SHARE = 2.0 ** -12
 END = 0xFF
 CHARS_AT_ONCE = 2_000_000
 WORDS_IN_BUCKET, TOKENS_IN_BUCKET = 200_000, 1 << 21
-NODES_IN_BUCKET, BYTES_IN_BUCKET = 1_000, 1 << 23
-NODES_AT_ONCE = 4_000
+NODES_IN_BUCKET, BYTES_IN_BUCKET = 8_000, 1 << 23
+NODES_AT_ONCE = 8_000
 GRAM_BITS = 8 * (DEPTH + 1)
 LOG2 = np.log10(2.0)
 
@@ -70,10 +70,12 @@ def context_bytes(values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 def count_rows(values: list[str]):
     """Counted keys of some texts: kind 0 byte strings, 1 words, 2 texts."""
-    data, places, _ = context_bytes(values)
+    data, places = context_bytes(values)[:2]
     gram = np.zeros(len(places), np.uint64)
     for back in range(DEPTH, -1, -1):
-        gram = gram << np.uint64(8) | data[places - back]
+        gram <<= np.uint64(8)
+        gram |= data[places - back]
+    del data, places
     yield 0, *np.unique(gram, return_counts=True)
     raw, starts = joined_bytes(values)
     begin, end, _ = word_spans(raw, starts)
@@ -114,7 +116,11 @@ def bit_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    return (log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi))
+    out = np.zeros(zeros.shape)
+    seen = np.nonzero(zeros + ones)
+    zeros, ones = zeros[seen], ones[seen]
+    out[seen] = log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
+    return out
 
 
 def kt_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -145,7 +151,7 @@ def suffix(context: np.ndarray, n: int) -> np.ndarray:
 def places_in(sorted_keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Place of each wanted key, -1 if it is not there."""
     if not len(sorted_keys):
-        return np.full(len(wanted), -1)
+        return np.full(np.shape(wanted), -1)
     at = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
     return np.where(sorted_keys[at] == wanted, at, -1)
 
@@ -206,29 +212,79 @@ NODE = "depth int, context long, bytes array<struct<byte:int,n:bigint>>"
 
 
 def by_depth(depth: np.ndarray, context: np.ndarray, lists: pa.ListArray):
-    """Contexts in order and dense counts, by depth; also each row's place in its depth."""
-    length = np.diff(lists.offsets.to_numpy())
-    row = np.repeat(np.arange(len(lists)), length)
+    """For each depth: contexts in order; the place there, the byte and the count of all that follows them; rows."""
+    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
     values = lists.flatten()
-    byte, n = values.field("byte").to_numpy(), values.field("n").to_numpy()
-    contexts, counts, rows = [], [], []
+    byte, n = values.field("byte").to_numpy().astype(np.int64), values.field("n").to_numpy().astype(np.float64)
     for d in range(DEPTH + 1):
         mine = np.flatnonzero(depth == d)
         mine = mine[np.argsort(context[mine])]
         place = np.full(len(depth), -1)
         place[mine] = np.arange(len(mine))
         here = place[row] >= 0
-        dense = np.zeros((len(mine), 256))
-        dense[place[row[here]], byte[here]] = n[here]
-        contexts.append(context[mine])
-        counts.append(dense)
-        rows.append(mine)
-    return contexts, counts, rows
+        yield context[mine], (place[row[here]], byte[here], n[here]), mine
+
+
+def dense(n_nodes: int, node: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
+    out = np.zeros((n_nodes, 256))
+    out[node, byte] = n
+    return out
+
+
+def decisions_of(byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight decisions of each byte and what they were."""
+    level = np.arange(8)
+    return (1 << level) - 1 + (byte[:, None] >> (8 - level)), byte[:, None] >> (7 - level) & 1
+
+
+@dataclass
+class RareNodes:
+    """Rare contexts of each depth in order, and of each decision seen after them what its counts say. The last row of
+    these is that of every other decision."""
+
+    context: list[np.ndarray]
+    entry: list[np.ndarray]  # of each node: the frequent context its path leaves, and the byte it leaves by
+    parent: list[np.ndarray]
+    follows: list[tuple]  # node, byte, count
+    key: list[np.ndarray]  # node * 256 + decision
+    one: list[np.ndarray]  # estimate of a one
+    rest_one: list[np.ndarray]  # the same by the counts without those of children
+    stop: list[np.ndarray]
+    weight: list[np.ndarray]
+
+
+def weigh_rare(context: list[np.ndarray], follows: list[tuple], entry: list[np.ndarray]) -> RareNodes:
+    """What :func:`weigh` does, for the decisions seen only: of all others the weight is one and a node's own
+    estimate is as good as what is below it."""
+    parent = [np.full(len(context[0]), -1)] + [
+        places_in(context[d - 1], suffix(context[d], d - 1)) for d in range(1, DEPTH + 1)]
+    out = RareNodes(context, entry, parent, follows, *([np.zeros(0)] * (DEPTH + 1) for _ in range(5)))
+    below = None
+    for d in reversed(range(DEPTH + 1)):
+        node, byte, n = follows[d]
+        decision, bit = decisions_of(byte)
+        key, at = np.unique(node[:, None] * 256 + decision, return_inverse=True)
+        n = np.repeat(n, 8)
+        total, ones = (np.bincount(at.ravel(), x, minlength=len(key)) for x in (n, n * bit.ravel()))
+        own = log_kt(total - ones, ones)
+        rest, rest_ones, weight, stop = total, ones, own, np.ones(len(key))
+        if d < DEPTH:
+            up = parent[d + 1][out.key[d + 1] >> 8]
+            at = np.searchsorted(key, up[up >= 0] * 256 + (out.key[d + 1][up >= 0] & 255))
+            less, less_ones, split = (np.bincount(at, x[up >= 0], minlength=len(key)) for x in below)
+            rest, rest_ones = total - less, ones - less_ones
+            weight = np.logaddexp(own, split + log_kt(rest - rest_ones, rest_ones)) - np.log(2)
+            stop = np.exp(own - np.log(2) - weight)
+        below = total, ones, weight
+        out.key[d], out.weight[d] = key, weight
+        out.one[d] = np.append(kt_one(total - ones, ones), 0.5)
+        out.rest_one[d] = np.append(kt_one(rest - rest_ones, rest_ones), 0.5)
+        out.stop[d] = np.append(stop, 0.5 if d < DEPTH else 1.0)
+    return out
 
 
 def weighed_pieces(rows: pa.Table):
-    """Rare contexts of a bucket, some entered contexts with all below them at a time: weighed nodes, and
-    by depth the frequent context and byte each node is entered by."""
+    """Rare contexts of a bucket, weighed, some entered contexts with all below them at a time."""
     rows = rows.combine_chunks().sort_by([("exit", "ascending"), ("byte", "ascending")])
     entry = rows["exit"].to_numpy().astype(np.int64) * 256 + rows["byte"].to_numpy()
     cuts = np.append(run_starts(entry), len(entry))
@@ -237,27 +293,32 @@ def weighed_pieces(rows: pa.Table):
         b = int(max(cuts[np.searchsorted(cuts, a, "right")],
                     cuts[np.searchsorted(cuts, a + NODES_AT_ONCE, "right") - 1]))
         piece = rows.slice(a, b - a).combine_chunks()
-        context, counts, order = by_depth(piece["depth"].to_numpy(), piece["context"].to_numpy().view(np.uint64),
-                                          piece["bytes"].combine_chunks())
-        yield weigh(context, counts), [entry[a:b][mine] for mine in order]
+        context, follows, order = zip(*by_depth(
+            piece["depth"].to_numpy(), piece["context"].to_numpy().view(np.uint64), piece["bytes"].combine_chunks()))
+        yield weigh_rare(list(context), list(follows), [entry[a:b][mine] for mine in order])
         a = b
 
 
 def add_up(rows: pa.Table) -> pa.Table:
     """For each frequent context of a bucket: weights, counts and bytes of the rare ones entered from it."""
-    sums: dict[int, list] = {}
-    for nodes, entries in weighed_pieces(rows):
+    exits = np.unique(rows["exit"].to_numpy())
+    below, taken, entered = np.zeros((len(exits), 255)), np.zeros((len(exits), 256)), [bytearray() for _ in exits]
+    for nodes in weighed_pieces(rows):
         for d in range(1, DEPTH + 1):
-            for i in np.flatnonzero(nodes.parent[d] < 0):
-                at, byte = divmod(int(entries[d][i]), 256)
-                held = sums.setdefault(at, [np.zeros(255), np.zeros(256), []])
-                held[0] += nodes.weight[d][i]
-                held[1] += nodes.counts[d][i]
-                held[2].append(byte)
-    return pa.table({"exit": pa.array(list(sums), pa.int32()),
-                     "below": pa.array([packed(x[0]) for x in sums.values()], pa.binary()),
-                     "taken": pa.array([packed(x[1]) for x in sums.values()], pa.binary()),
-                     "entered": pa.array([bytes(x[2]) for x in sums.values()], pa.binary())})
+            exit_ = np.searchsorted(exits, nodes.entry[d] >> 8)
+            top = nodes.parent[d] < 0
+            for i in np.flatnonzero(top):
+                entered[exit_[i]].append(int(nodes.entry[d][i]) & 255)
+            at = nodes.key[d] >> 8
+            mine = top[at]
+            np.add.at(below, (exit_[at[mine]], nodes.key[d][mine] & 255), nodes.weight[d][mine])
+            at, byte, n = nodes.follows[d]
+            mine = top[at]
+            np.add.at(taken, (exit_[at[mine]], byte[mine]), n[mine])
+    return pa.table({"exit": pa.array(exits, pa.int32()),
+                     "below": pa.array([packed(x) for x in below], pa.binary()),
+                     "taken": pa.array([packed(x) for x in taken], pa.binary()),
+                     "entered": pa.array([bytes(x) for x in entered], pa.binary())})
 
 
 @dataclass
@@ -315,8 +376,10 @@ def learn_tree(counts: DataFrame, least: int | None = None, share: float | None
     names = [field.split()[0] for field in NODE.split(", ")]
     rows = nodes.filter(is_frequent).select(*names).toArrow().combine_chunks()
     lists = rows["bytes"].combine_chunks()
-    context, seen, _ = by_depth(rows["depth"].to_numpy(), rows["context"].to_numpy().view(np.uint64),
-                                lists if isinstance(lists, pa.ListArray) else lists.chunk(0))
+    context, follows, _ = map(list, zip(*by_depth(
+        rows["depth"].to_numpy(), rows["context"].to_numpy().view(np.uint64),
+        lists if isinstance(lists, pa.ListArray) else lists.chunk(0))))
+    seen = [dense(len(c), *f) for c, f in zip(context, follows)]
     if not len(context[0]):
         context[0], seen[0] = np.zeros(1, np.uint64), np.zeros((1, 256))
     first = np.cumsum([0] + [len(c) for c in context])
@@ -370,34 +433,28 @@ def tree_scores(values: list[str], child: np.ndarray, first: np.ndarray, log10:
             gram, exit_ * 256 + byte, text[away])
 
 
-def rare_log10(rows: pa.Table, mixed: np.ndarray, left: np.ndarray):
-    """By depth: rare contexts of a bucket in order, and log10 of each byte after them."""
-    found: list[list] = [[] for _ in range(DEPTH + 1)]
-    for nodes, entries in weighed_pieces(rows):
-        start = []
-        for d in range(DEPTH + 1):
-            at = entries[d][nodes.parent[d] < 0] >> 8
-            start.append((mixed[at], left[at]))
-        for d, (log10, _, _) in enumerate(predict(nodes, start)):
-            found[d].append((nodes.context[d], log10))
-    out = []
-    for parts in found:
-        context = np.concatenate([c for c, _ in parts] or [np.zeros(0, np.uint64)])
-        order = np.argsort(context)
-        out.append((context[order], np.concatenate([x for _, x in parts] or [np.zeros((0, 256))])[order]))
-    return out
-
-
-def rare_costs(gram: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """log10 of the last byte of each byte string after the deepest context that has a node."""
+def rare_costs(gram: np.ndarray, rows: pa.Table, mixed: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """log10 of the last byte of each byte string whose path enters a rare context of the bucket."""
+    context, (decision, bit) = gram >> np.uint64(8), decisions_of((gram & np.uint64(255)).astype(np.int64))
     cost = np.zeros(len(gram))
-    open_ = np.arange(len(gram))
-    for d in range(DEPTH, 0, -1):
-        context, log10 = tables[d]
-        at = places_in(context, suffix(gram[open_] >> np.uint64(8), d))
-        hit = at >= 0
-        cost[open_[hit]] = log10[at[hit], (gram[open_[hit]] & np.uint64(255)).astype(np.int64)]
-        open_ = open_[~hit]
+    for nodes in weighed_pieces(rows):
+        path = [places_in(nodes.context[d], suffix(context, d)) for d in range(1, DEPTH + 1)]
+        mine = np.flatnonzero(np.max(path, axis=0) >= 0)
+        started = np.zeros(len(mine), bool)
+        mix, rest, tail = np.zeros((len(mine), 8)), np.zeros((len(mine), 8)), np.zeros((len(mine), 8))
+        for d, place in enumerate(path, 1):
+            place = place[mine]
+            on = np.flatnonzero(place >= 0)
+            first = on[~started[on]]
+            at = (nodes.entry[d][place[first]] >> 8)[:, None], decision[mine[first]]
+            mix[first], rest[first] = mixed[at], left[at]
+            started[on] = True
+            at = places_in(nodes.key[d], place[on, None] * 256 + decision[mine[on]])
+            mix[on] += rest[on] * nodes.stop[d][at] * nodes.one[d][at]
+            rest[on] *= 1 - nodes.stop[d][at]
+            tail[on] = nodes.rest_one[d][at]
+        one = mix + rest * tail
+        cost[mine] = np.log10(np.where(bit[mine] == 1, one, 1 - one)).sum(axis=1)
     return cost
 
 
@@ -528,11 +585,13 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
              ("known", pa.int64())]).empty_table()
 
     def look_below(asked: pa.Table, rows: pa.Table) -> pa.Table:
-        tables = rare_log10(rows, mixed, left)
+        in_gram = np.uint64((1 << GRAM_BITS) - 1)
+        grams = np.unique(np.concatenate([np.zeros(0, np.uint64)] + [g & in_gram for _, g, _, _ in read_blobs(asked)]))
+        costs = rare_costs(grams, rows, mixed, left)
         out = []
         for part, gram, uses, text in read_blobs(asked):
             place, of = np.unique(text, return_inverse=True)
-            cost = np.repeat(rare_costs(gram & np.uint64((1 << GRAM_BITS) - 1), tables), uses)
+            cost = np.repeat(costs[np.searchsorted(grams, gram & in_gram)], uses)
             out.append(pa.table({"part": np.full(len(place), part), "place": place.astype(np.int32),
                                  "score": np.bincount(of, cost).astype(np.float64)}))
         return pa.concat_tables(out) if out else pa.schema(

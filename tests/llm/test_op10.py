@@ -184,3 +184,20 @@ def test_places(values):
     data, places, text = op10.context_bytes(values)
     for i, value in enumerate(values):
         assert bytes(data[places[text == i]]) == value.encode() + b"\xff"
+
+
+def test_contexts_that_occur_twice_have_a_node(spark):
+    """As shipped, no context that occurs again is merged with others."""
+    training = {"the cat sat on the mat": 1, "a cat and a bat": 1, "é": 2}
+    found = op10.context_nodes(op10.training_counts(repeated(spark, training)), op10.LEAST)
+    seen = Counter()
+    for text, times in training.items():
+        data = bytes([op10.END]) * op10.DEPTH + text.encode() + bytes([op10.END])
+        for i in range(op10.DEPTH, len(data)):
+            seen.update({(d, int.from_bytes(data[i - d:i], "big")): times for d in range(1, op10.DEPTH + 1)})
+    assert {(r.depth, r.context) for r in found.filter("depth > 0").collect()} == {
+        place for place, n in seen.items() if n > 1}
+    asked = ["the cat", "a mat and", "é"]
+    got = scores(spark, training, asked)
+    for text in asked:
+        assert got[text].score == pytest.approx(plain_tree(training, text, 2), rel=1e-5)
