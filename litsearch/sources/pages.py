@@ -26,7 +26,9 @@ def write_page_files(pages: DataFrame, path: str, page_id: str, column: str = "v
     folder before all are written, and a task that runs again writes files of the same names.
     """
     text = F.array_join(F.collect_list(F.coalesce(column, F.lit(""))), "\n")
-    (pages.groupBy(page_id).agg(text.alias("value")).select("value")
+    # the cost is that of the files, so tasks are even by pages, not by bytes
+    tasks = 4 * pages.sparkSession.sparkContext.defaultParallelism
+    (pages.repartition(tasks, page_id).groupBy(page_id).agg(text.alias("value")).select("value")
      .write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path))
 
 
