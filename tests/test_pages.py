@@ -7,7 +7,7 @@ from litsearch.fixed_values import PAPER_LISTS, PAPER_RULES
 from litsearch.functions.text import decode_list, doc_key, encode_list, flatten_html
 from litsearch.operators import pages
 from litsearch.sources.pages import (
-    count_documents, peek, read_page_files, read_page_lines, row_cap, write_page_lines,
+    count_documents, peek, read_page_files, read_page_lines, row_cap, write_page_files, write_page_lines,
 )
 
 
@@ -110,3 +110,14 @@ def test_row_cap_follows_the_order(spark, rows):
     assert row_cap(df, -1).count() == 10 and row_cap(df).count() == 10
     assert row_cap(df, 0).count() == 0
     assert rows(peek(df)) == [(0,)]
+
+
+def test_page_files_lie_beside_each_other(spark, rows, tmp_path):
+    """Rows that share an id are one page, also those without one; no page has a folder of its own."""
+    found = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, " b\tc\n"), (None, "x\ny"), (None, "x\ny")],
+                                  "page_id long, html string")
+    path = tmp_path / "pages"
+    write_page_files(found, str(path), "page_id", "html")
+    # an empty file, which is no page, stands for a first task without rows
+    assert len([f for f in path.glob("*.txt") if f.stat().st_size]) == 4 and not [f for f in path.iterdir() if f.is_dir()]
+    assert rows(read_page_files(spark, str(path)), "value") == [("",), ("aa",), ("b c",), ("xyxy",)]
