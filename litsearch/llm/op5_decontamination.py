@@ -5,11 +5,13 @@ passage frequencies being counted over all documents, the idf between 1 (in all
 ``MOST_IDF``: as an item's words are common where its copies are, none may outweigh the others
 by far. Items are cut evenly into pieces of at most ``PIECE`` words, which a passage can cover
 in good part; the pieces are what is searched. A randomised singular value decomposition of the benchmark's
-pieces, its products summed up over the tasks, gives the latent space: pieces of at most
-``ITEMS_AT_ONCE`` items are searched at a time and the space has a dimension for each, so
-none is lost. Every passage of every document is folded in and its cosine with every piece
+pieces, each of unit length, its products summed up over the tasks, gives the latent space: pieces of at most
+``ITEMS_AT_ONCE`` items are searched at a time, and the space has as few of the main directions as leave every piece
+``KEPT`` of its square, so words that pieces have together stand for one another and no piece is lost. Every passage
+of every document is folded in and its cosine with every piece in the space
 taken (a stated query set against all rows, in blocks); the passage's whole length counts, words that no item has
-among it. Where that is at least ``COSINE``, windows of the document around the passage are compared with the piece's
+among it, and what the space keeps of a piece counts as all of it, so that the piece's own cosine is 1.
+Where that is at least ``COSINE``, windows of the document around the passage are compared with the piece's
 item, if they have enough words in common with it, in any order, for what follows to be possible: the longest
 common subsequence, as a share of the item, and that of the item's answer (what follows the last question mark or
 "answer:", else its last sentence). A window is twice as long as the item and a quarter more.
@@ -34,13 +36,17 @@ from litsearch.llm.common import (NOT_ALPHANUMERIC, groups, joined_bytes, lower_
                                   word_hashes, word_spans)
 
 STEP = 16  # words from one passage to the next; a passage is two steps long
-ITEMS_AT_ONCE, POWER, EXTRA, SEED = 256, 2, 8, 11
-PIECE, MOST_IDF, COSINE = 48, 4.0, 0.25
+ITEMS_AT_ONCE, PIECES_AT_ONCE, POWER, EXTRA, SEED = 256, 512, 2, 8, 11
+PIECE, MOST_IDF, COSINE, KEPT = 48, 4.0, 0.2, 0.5
 VERBATIM, REWORDED, ANSWERED = 0.75, 0.5, 0.8
 #: A copy may be as long as so many lengths of its item; windows of it begin at so many places of a length.
 REACH, PER_LENGTH = 2, 4
-#: Products below this are rounding of the decomposition.
-ROUNDING = 1e-6
+#: Less than this is rounding of the decomposition, or of products in single precision.
+ROUNDING = 1e-5
+#: Terms folded in by their counts, and the unit of places in the space: 2 * STEP * MOST_IDF of it are below 2^24.
+USUAL, EXACT = 128, 2**16
+#: Sections that bound the words in common begin so often in the surroundings of the longest item.
+HOPS = 3
 CHARS_AT_ONCE, TERMS_AT_ONCE, PAIRS_AT_ONCE, BLOCKS_AT_ONCE = 250_000, 64, 1024, 8
 LEAKS = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
 ANSWER = re.compile(r".*(?:\?|\banswer\s*:)", re.S | re.I)
@@ -63,7 +69,7 @@ def answer_of(text: str) -> str:
 
 
 class Items:
-    """At most ITEMS_AT_ONCE benchmark passages and their vocabulary."""
+    """At most ITEMS_AT_ONCE benchmark passages, of PIECES_AT_ONCE pieces or one passage, and their vocabulary."""
 
     def __init__(self, rows: list[tuple[int, str]]):
         self.ids = [i for i, _ in rows]
@@ -72,7 +78,7 @@ class Items:
         words, first = hashed_words([answer_of(t) for _, t in rows])
         self.answers = [words[a:b] for a, b in zip(first[:-1], first[1:])]
         self.terms = np.unique(np.concatenate([*self.words, np.zeros(0, np.uint64)]))
-        cut = [np.array_split(words, max(1, -(-len(words) // PIECE))) for words in self.words]
+        cut = [np.array_split(words, pieces_of(len(words))) for words in self.words]
         self.pieces = [piece for pieces in cut for piece in pieces]
         self.item = np.repeat(np.arange(len(cut)), [len(pieces) for pieces in cut])  # of each piece
 
@@ -86,6 +92,16 @@ class Items:
             np.add.at(row, self.lookup(words), 1)
         return out * weight
 
+    def unit(self, weight: np.ndarray) -> np.ndarray:
+        """The same with rows of length 1, those without words being zero."""
+        out = self.matrix(weight)
+        size = np.linalg.norm(out, axis=1)
+        return out / np.where(size > 0, size, 1)[:, None]
+
+
+def pieces_of(words: int) -> int:
+    return max(1, -(-words // PIECE))
+
 
 def steps_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Step of every word, numbered through all texts; each text's first step; text of every word."""
@@ -143,8 +159,8 @@ def passage_counts(docs: DataFrame, terms: np.ndarray, text_col: str) -> tuple[n
                 as_first = (step < start[text + 1] - 1) | (step == start[text])
                 as_second = step > start[text]
                 pair = np.concatenate((step[as_first], step[as_second] - 1)) * len(terms)
-                pair = np.unique(pair + np.concatenate((term[as_first], term[as_second])))
-                seen += np.bincount(pair % max(1, len(terms)), minlength=len(terms))
+                pair = np.sort(pair + np.concatenate((term[as_first], term[as_second])))
+                seen += np.bincount(pair[run_starts(pair)] % max(1, len(terms)), minlength=len(terms))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(-1, len(seen)), pa.int32()), pa.array(np.append(total, seen), pa.int64())],
             names=["term", "n"])
@@ -163,8 +179,9 @@ def add_up(blocks: pa.Table) -> pa.Table:
     return pa.table({"first": blocks["first"][:1], "rows": pa.array([total.tobytes()], pa.binary())})
 
 
-def latent_space(benchmark: DataFrame, items: Items, weight: np.ndarray) -> np.ndarray:
-    """Orthonormal terms x dimensions by randomised SVD; products with the matrix are Spark jobs."""
+def latent_space(benchmark: DataFrame, items: Items, weight: np.ndarray, kept: float = 1) -> np.ndarray:
+    """Orthonormal terms x dimensions by randomised SVD; products with the matrix are Spark jobs. As few of the main
+    dimensions as leave each piece that share of its square."""
     size = min(len(items.pieces), len(items.terms))
     if not size:
         return np.zeros((len(items.terms), 0))
@@ -178,7 +195,7 @@ def latent_space(benchmark: DataFrame, items: Items, weight: np.ndarray) -> np.n
                 part = Items([(0, t) for t in strings(batch.column("text"))])
                 for words in part.pieces:
                     row = np.bincount(items.lookup(words), minlength=len(items.terms)) * weight
-                    out += np.outer(row, row @ basis)
+                    out += np.outer(row, row @ basis) / max(row @ row, ROUNDING)
             first = list(range(0, len(out), TERMS_AT_ONCE))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(first, pa.int32()),
@@ -191,7 +208,9 @@ def latent_space(benchmark: DataFrame, items: Items, weight: np.ndarray) -> np.n
         basis = np.concatenate([np.frombuffer(r.rows).reshape(-1, basis.shape[1])
                                 for r in sorted(summed, key=lambda r: r.first)])
     left, _, _ = np.linalg.svd(basis, full_matrices=False)
-    return left[:, :size]
+    share = np.cumsum((items.unit(weight) @ left[:, :size]) ** 2, axis=1)
+    short = share[[len(words) > 0 for words in items.pieces]].min(axis=0) < kept - ROUNDING
+    return left[:, :min(size, int(short.sum()) + 1)]
 
 
 def places_of(words: np.ndarray) -> dict[int, int]:
@@ -217,47 +236,86 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 
 class Block:
-    """Items searched together. Of each term the pieces, ``piece[first[t]:first[t + 1]]``, to whose product with a
-    passage, the piece being of unit length, it adds ``score``."""
+    """Items searched together in their latent space: a word adds its row of ``fold`` to a passage's place there,
+    whose product with a piece's row of ``near`` is 1 if the passage is the piece at unit length."""
 
     def __init__(self, items: Items, weight: np.ndarray, space: np.ndarray):
         self.items, self.weight = items, weight
-        latent = items.matrix(weight) @ space
-        size = np.linalg.norm(latent, axis=1)
-        unit = latent / np.where(size > 0, size, 1)[:, None]
-        # a piece is in the space whole, so a word adds to it only if it holds the word; the rest is rounding
-        scores = weight[:, None] * space @ unit.T
-        word, self.piece = np.nonzero(np.abs(scores) > ROUNDING)
-        self.score = scores[word, self.piece]
-        self.first = np.searchsorted(word, np.arange(len(weight) + 1))
+        latent = items.unit(weight) @ space
+        share = (latent ** 2).sum(axis=1)
+        # so many digits that a passage's sums are exact in single precision, in any order
+        self.fold = np.rint(weight[:, None] * space * EXACT).astype(np.float32) / EXACT
+        self.usual = np.argsort(weight, kind="stable")[:USUAL]  # terms that most words are
+        self.place = np.full(len(weight), -1)
+        self.place[self.usual] = np.arange(len(self.usual))
+        self.near = (latent / np.where(share > 0, share, 1)[:, None]).astype(np.float32)
         self.held = np.zeros((len(items.words), len(items.terms)), np.uint16)  # words of each item
         for row, words in zip(self.held, items.words):
             np.add.at(row, items.lookup(words), 1)
         self.length = np.array([len(w) for w in items.words])
+        # of each term the items, holder[first[t]:first[t + 1]], and how often they hold it
+        word, self.holder = np.nonzero(self.held.T)
+        self.times = self.held[self.holder, word]
+        self.first = np.searchsorted(word, np.arange(len(weight) + 1))
 
     def candidates(self, term: np.ndarray, step: np.ndarray, start: np.ndarray, text: np.ndarray):
-        """Passage, item and cosine of all pairs whose cosine may reach ``COSINE``.
+        """Passage, item and cosine of all pairs whose cosine may reach ``COSINE``, but for those whose surroundings
+        have too few words of the item.
 
         The passage's length is taken as if none of its words were repeated, and is then never more than the true
         one; so the cosine is never less.
         """
         if not len(term):
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
-        at, pieces, rows = np.flatnonzero(term >= 0), len(self.items.pieces), int(start[-1]) + len(start)
-        begin, size = self.first[term[at]], np.diff(self.first)[term[at]]
-        entry, row = ranges(begin, size), step + text
-        sums = np.bincount(np.repeat(row[at] * pieces, size) + self.piece[entry], self.score[entry],
-                           minlength=rows * pieces).reshape(rows, pieces)
+        at, rows = np.flatnonzero(term >= 0), int(start[-1]) + len(start)
+        row, usual = step + text, self.place[term[at]]
+        n = np.bincount(row[at[usual >= 0]] * len(self.usual) + usual[usual >= 0], minlength=rows * len(self.usual))
+        place = n.reshape(rows, len(self.usual)).astype(np.float32) @ self.fold[self.usual]
+        rare = at[usual < 0]
+        run = run_starts(row[rare])
+        rank = np.arange(len(rare)) - np.repeat(run, np.diff(np.append(run, len(rare))))
+        for i in range(STEP):  # the i-th such word of every step
+            word = rare[rank == i]
+            place[row[word]] += self.fold[term[word]]
         square = np.full(len(term), MOST_IDF**2)
         square[at] = self.weight[term[at]] ** 2
-        is_passage, product = passage_sums(start, sums)
+        is_passage, place = passage_sums(start, place)
         norm = np.sqrt(passage_sums(start, np.bincount(row, square, minlength=rows))[1])
-        p, k = np.divmod(np.flatnonzero(product >= np.where(is_passage, COSINE * norm, np.inf)[:, None]), max(1, pieces))
-        cosine, passages = product[p, k] / norm[p], np.arange(rows - 1) - text_of_row(start, np.arange(rows - 1))
-        item = self.items.item[k]
+        least = np.where(is_passage, (COSINE - ROUNDING) * norm, np.inf).astype(np.float32)
+        p, k = np.divmod(np.flatnonzero(place @ self.near.T >= least[:, None]), len(self.near))
+        doc, item = text_of_row(start, np.arange(rows))[p], self.items.item[k]
+        passage = p - doc
+        near, section = self.common_at_most(term, step, start, text)
+        enough = near[section(passage, doc, item), item] >= REWORDED * self.length[item]
+        p, k, passage, item = p[enough], k[enough], passage[enough], item[enough]
+        # products again, as those above depend in their last digits on what texts are in the group
+        cosine = np.zeros(len(p))
+        for a in range(0, len(p), PAIRS_AT_ONCE):
+            b = slice(a, a + PAIRS_AT_ONCE)
+            cosine[b] = (place[p[b]].astype(float) * self.near[k[b]]).sum(axis=1) / norm[p[b]]
         order = np.lexsort((-cosine, item, p))  # of an item's pieces the nearest
-        first = order[run_starts(passages[p[order]] * len(self.length) + item[order])]
-        return passages[p[first]], item[first], np.minimum(cosine[first], 1)
+        order = order[cosine[order] >= COSINE]
+        first = order[run_starts(passage[order] * len(self.length) + item[order])]
+        return passage[first], item[first], np.minimum(cosine[first], 1)
+
+    def common_at_most(self, term: np.ndarray, step: np.ndarray, start: np.ndarray, text: np.ndarray):
+        """Words that each section of the texts has in common with each item, in any order, and a function for the
+        section that holds a passage's surroundings, where a copy of the item would be. One begins at each hop; it is
+        ``HOPS`` hops and one more long, and the surroundings are at most a step longer than ``HOPS``."""
+        reach = -(-REACH * self.length // STEP)
+        hop = -(-(2 * int(reach.max()) + 1) // HOPS)
+        begin = np.concatenate(([0], np.cumsum(-(-np.diff(start) // hop))))
+        at, terms, items = np.flatnonzero(term >= 0), max(1, len(self.weight)), len(self.length)
+        own = (step[at] - start[text[at]]) // hop
+        key = (begin[text[at]] + own) * terms + term[at]
+        key, n = np.unique(np.concatenate([key[own >= i] - i * terms for i in range(HOPS + 1)]), return_counts=True)
+        section, word = np.divmod(key, terms)
+        size = np.diff(self.first)[word]
+        entry = ranges(self.first[word], size)
+        least = np.bincount(np.repeat(section * items, size) + self.holder[entry],
+                            np.minimum(np.repeat(n, size), self.times[entry]), minlength=int(begin[-1]) * items)
+        return (least.reshape(-1, items),
+                lambda passage, doc, item: begin[doc] + np.maximum(passage - start[doc] - reach[item], 0) // hop)
 
     def common_words(self, term: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
         """Words that each item has in common with the words from ``low`` to ``high``, in any order:
@@ -366,28 +424,33 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     named = benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                              F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     marked = marked.withColumn(column, F.coalesce(column, F.array().cast(LEAKS)))
-    held: list[tuple[int, str]] = []
+    held: list[list[tuple[int, str]]] = []
+    pieces = 0
     for row in named.orderBy("item_id", "text").toLocalIterator():
-        held.append((row.item_id, row.text))
-        if len(held) == ITEMS_AT_ONCE * BLOCKS_AT_ONCE:
-            marked = search(marked, make_blocks(docs, held, text_col), text_col, column)
-            held = []
+        more = pieces_of(len(hashed_words([row.text])[0]))
+        if not held or len(held[-1]) == ITEMS_AT_ONCE or pieces + more > PIECES_AT_ONCE:
+            if len(held) == BLOCKS_AT_ONCE:
+                marked = search(marked, make_blocks(docs, held, text_col), text_col, column)
+                held = []
+            held.append([])
+            pieces = 0
+        held[-1].append((row.item_id, row.text))
+        pieces += more
     return search(marked, make_blocks(docs, held, text_col), text_col, column) if held else marked
 
 
-def make_blocks(docs: DataFrame, rows: list[tuple[int, str]], text_col: str) -> list[Block]:
-    """The items in blocks, each with its latent space. Terms of all are counted in one pass over the documents
+def make_blocks(docs: DataFrame, rows: list[list[tuple[int, str]]], text_col: str) -> list[Block]:
+    """Blocks of these items, each with its latent space. Terms of all are counted in one pass over the documents
     as they were given, so no search runs again for it."""
-    items = [Items(rows[a:a + ITEMS_AT_ONCE]) for a in range(0, len(rows), ITEMS_AT_ONCE)]
+    items = [Items(part) for part in rows]
     terms = np.unique(np.concatenate([x.terms for x in items]))
     seen, total = passage_counts(docs, terms, text_col)
     weight = np.minimum(np.log((total + 1) / (seen + 1)) + 1, MOST_IDF)
     blocks = []
-    for number, part in enumerate(items):
-        texts = [t for _, t in rows[number * ITEMS_AT_ONCE:(number + 1) * ITEMS_AT_ONCE]]
-        block = docs.sparkSession.createDataFrame(pa.table({"text": texts}))
+    for part, own_rows in zip(items, rows):
+        block = docs.sparkSession.createDataFrame(pa.table({"text": [t for _, t in own_rows]}))
         own = weight[places_in(terms, part.terms)]
-        blocks.append(Block(part, own, latent_space(block, part, own)))
+        blocks.append(Block(part, own, latent_space(block, part, own, KEPT)))
     return blocks
 
 

@@ -188,6 +188,91 @@ def test_latent_space(spark):
     assert np.allclose(space.T @ space, np.eye(20), atol=1e-8)
 
 
+def topic_items(r, n=12):
+    """Each of a topic's words and as many of its own."""
+    words = r.sample(RARE, 24 * (n + 1))
+    items = []
+    for i in range(n):
+        held = [*words[:24], *words[24 * (i + 1):24 * (i + 2)]]
+        r.shuffle(held)
+        items.append((i, " ".join(held)))
+    return items
+
+
+def test_words_meet_in_the_space(spark):
+    """The space has fewer dimensions than pieces, keeps a share of each, and words add to pieces without them."""
+    items = topic_items(random.Random(9))
+    docs = spark.createDataFrame([(0, "a text")], "doc_id long, text string")
+    block, = op5.make_blocks(docs, [items], "text")
+    assert block.fold.shape[1] < len(block.near) == len(items)
+    unit = block.items.unit(block.weight)
+    latent = unit @ block.fold / block.weight.max()
+    assert (block.weight == block.weight[0]).all() and ((latent ** 2).sum(axis=1) >= op5.KEPT - 1e-3).all()
+    products = block.fold @ block.near.T
+    assert np.allclose((unit * products.T / block.weight).sum(axis=1), 1, atol=1e-3)
+    assert np.abs(products.T[unit == 0]).min() > 1e-4  # in a space of all dimensions all of these are 0
+
+
+def test_leak_found_by_related_words(spark):
+    """Half of an item far apart, 7 words in each 32: a plain cosine of 0.18. Among words of its topic it is found."""
+    r = random.Random(10)
+    items = topic_items(r)
+    own = items[0][1].split()
+    items[0] = (0, f"{' '.join(own[:-6])}? {' '.join(own[-6:])}")
+    related = sorted({w for _, text in items[1:] for w in text.split()} - set(own))
+    text = r.sample(related, 108)
+    for n, word in enumerate(own[:19] + own[-5:]):
+        text[1 + n * 32 // 7] = word
+    docs = [(0, " ".join(text)), *((10 + i, prose(100, r)) for i in range(50))]
+    assert found(spark, docs, items) == {(0, 0)}
+
+
+def test_common_words_of_sections():
+    """No passage's surroundings have more words of an item than its section; cosines do not depend on the group."""
+    r = random.Random(12)
+    items = op5.Items([(i, prose(n, r)) for i, n in enumerate((3, 20, 47, 90, 0))])
+    space = np.linalg.qr(np.random.default_rng(1).standard_normal((len(items.terms), 3)))[0]
+    block = op5.Block(items, np.linspace(1, 4, len(items.terms)), space)
+    values = [prose(n, r) for n in (0, 5, 33, 700, 1, 2000)]
+    words, first = op5.hashed_words(values)
+    step, start, text = op5.steps_of(first)
+    term = items.lookup(words)
+    most, section = block.common_at_most(term, step, start, text)
+    passage = np.repeat(np.arange(start[-1]), len(block.length))
+    item = np.tile(np.arange(len(block.length)), start[-1])
+    doc = op5.text_of_step(start, passage)
+    place, reach = first[doc] + (passage - start[doc]) * op5.STEP, op5.REACH * block.length[item]
+    low, high = np.maximum(first[doc], place - reach), np.minimum(first[doc + 1], place + 2 * op5.STEP + reach)
+    assert (most[section(passage, doc, item), item] >= block.common_words(term, low, high, item)).all()
+    alone = []
+    for d, value in enumerate(values):
+        words, own = op5.hashed_words([value])
+        step, begin, text = op5.steps_of(own)
+        p, i, cosine = block.candidates(items.lookup(words), step, begin, text)
+        alone += zip((p + start[d]).tolist(), i.tolist(), cosine.tolist())
+    step, start, text = op5.steps_of(first)
+    together = [x.tolist() for x in block.candidates(term, step, start, text)]
+    assert alone and sorted(zip(*together)) == sorted(alone)
+
+
+def test_blocks_by_pieces(spark, monkeypatch):
+    """A block has no more pieces than stated unless one item has, and none is lost."""
+    sizes, make = [], op5.make_blocks
+
+    def spy(docs, rows, text_col):
+        sizes.append([len(op5.Items(part).pieces) for part in rows])
+        return make(docs, rows, text_col)
+
+    monkeypatch.setattr(op5, "make_blocks", spy)
+    monkeypatch.setattr(op5, "PIECES_AT_ONCE", 5)
+    monkeypatch.setattr(op5, "BLOCKS_AT_ONCE", 2)
+    r = random.Random(13)
+    items = [(i, prose(n, r)) for i, n in enumerate((100, 100, 30, 400, 20, 90, 140))]
+    docs = [(i, f"{prose(40, r)} {text} {prose(40, r)}") for i, text in items]
+    assert found(spark, docs, items) == {(i, i) for i, _ in items}
+    assert sizes == [[3, 4], [9, 3], [3]]
+
+
 SF = "/root/testdata/sf0.01"
 
 
